@@ -51,9 +51,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Traveller types that occur in the tags of the given tables.
 STAR_TYPES = {"Hot": "hot", "Cold": "cold", "New": "new", "Old": "old", "Ring": "ring", "Gear": "gear"}
 
-# Digits kept of a double: engines add up in different orders.
+# Digits kept of a double: engines add up in different orders, and solvers of
+# least squares agree to fewer digits than sums do.
 DIGITS = 9
-MORE_DIGITS = {"Trend_Slope": 12}
+DIGITS_OF = {"Trend_Slope": 10, "Coefficient": 6}
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def comparable(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, MORE_DIGITS.get(field.name, DIGITS))
+            column = F.round(column, DIGITS_OF.get(field.name, DIGITS))
         elif isinstance(field.dataType, T.DateType):
             column = F.date_format(column, "yyyy-MM-dd")
         elif isinstance(field.dataType, T.ArrayType):

@@ -109,7 +109,7 @@ segments as (
   select Hotel_Name, Hotel_Address, Season, Traveler_Type, avg(Reviewer_Score) as score,
     count(Reviewer_Score) as n, max(lat_deg) as lat, max(lng_deg) as lng, max(region) as region
   from (select *, case when month(d) in (12, 1, 2) then 'Winter' when month(d) in (3, 4, 5) then 'Spring'
-          when month(d) in (6, 7, 9) then 'Summer' when month(d) in (9, 10, 11) then 'Autumn'
+          when month(d) in (6, 7, 8) then 'Summer' when month(d) in (9, 10, 11) then 'Autumn'
           else 'Unknown' end as Season from r) e
   join (values ('Hot', 'hot'), ('Cold', 'cold'), ('New', 'new'), ('Old', 'old'), ('Ring', 'ring'),
                ('Gear', 'gear'), ('Other', '')) kinds(Traveler_Type, mark)
@@ -199,7 +199,7 @@ def _r(column: str, name: str, digits: int = 9) -> str:
 _TREND = ", ".join(
     [
         "Hotel_Name",
-        _r("slope", "Trend_Slope", 12),
+        _r("slope", "Trend_Slope", 10),
         "n as Review_Count",
         _r("mean", "Average_Score_Calculated"),
         _r("entity_score", "Average_Score"),
@@ -332,8 +332,8 @@ def _regression() -> tuple[str, str]:
     intercept = " - ".join(["my", *[f"b{i} * m{i}" for i in range(1, k + 1)]])
     ctes.append(f"beta as (select *, {intercept} as b0 from beta1)")
     head = f"with {REVIEWS}, " + ", ".join(ctes)
-    rows = [f"select '{name}' as Feature, round(b{i}, 9) as Coefficient from beta" for i, name in enumerate(names, 1)]
-    rows.append("select 'Intercept' as Feature, round(b0, 9) as Coefficient from beta")
+    rows = [f"select '{name}' as Feature, round(b{i}, 6) as Coefficient from beta" for i, name in enumerate(names, 1)]
+    rows.append("select 'Intercept' as Feature, round(b0, 6) as Coefficient from beta")
     error = "(y - b0 - " + " - ".join(f"b{i} * x{i}" for i in range(1, k + 1)) + ")"
     metrics = (
         f"select count(*) as Test_Rows, round(sqrt(avg({error} * {error})), 9) as RMSE, "
@@ -380,7 +380,7 @@ def expected_sql() -> dict[str, str]:
             f"select {_TREND} from trends where round(slope, 12) < 0 order by round(slope, 12), Hotel_Name limit 10"
         ),
         "user_value_trends": """
-            select user_id, round(coalesce(regr_slope(value, date_diff('day', date '1970-01-01', cast(ts as date))), 0.0), 12)
+            select user_id, round(coalesce(regr_slope(value, date_diff('day', date '1970-01-01', cast(ts as date))), 0.0), 10)
                 as Trend_Slope, count(*) as Review_Count, round(avg(value), 9) as Average_Score_Calculated,
               strftime(min(cast(ts as date)), '%Y-%m-%d') as First_Review_Date,
               strftime(max(cast(ts as date)), '%Y-%m-%d') as Last_Review_Date
