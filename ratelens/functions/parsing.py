@@ -45,8 +45,13 @@ def tag_list(df: DataFrame, name: str) -> Column:
 
 
 def one_row_per_tag(df: DataFrame, name: str, keep: list[str], tag: str = "Single_Tag") -> DataFrame:
-    """Explode the tags; blank tags are dropped. Only ``keep`` is carried along."""
-    exploded = df.select(*keep, F.explode(tag_list(df, name)).alias("raw_tag"))
+    """One row per tag that is not blank, with only ``keep`` beside it.
+
+    The outer form is used because for the inner one Spark adds a filter on the
+    size of the list, which parses every list a second time. A review without
+    tags then has one NULL tag, which the filter drops like a blank one.
+    """
+    exploded = df.select(*keep, F.explode_outer(tag_list(df, name)).alias("raw_tag"))
     return exploded.select(*keep, F.trim("raw_tag").alias(tag)).filter(F.col(tag) != "")
 
 

@@ -47,15 +47,16 @@ def sentiment(score: Column) -> Column:
     )
 
 
-def words(text: Column) -> Column:
-    """Distinct lower-case words of the whole text."""
-    return F.array_distinct(F.split(F.lower(text), WORD_BREAK))
+def mentioned_words(text: Column, dictionary: Mapping[str, Sequence[str]]) -> Column:
+    """The words of the dictionary that occur in the whole text."""
+    known = sorted({word for topic_words in dictionary.values() for word in topic_words})
+    return F.array_intersect(F.split(F.lower(text), WORD_BREAK), F.array(*map(F.lit, known)))
 
 
-def topics_of(word_list: Column, dictionary: Mapping[str, Sequence[str]]) -> Column:
-    """Sorted array of the topics that share a word with ``word_list``."""
+def topics_of(mentioned: Column, dictionary: Mapping[str, Sequence[str]]) -> Column:
+    """Sorted array of the topics that one of the mentioned words belongs to."""
     hits = [
-        F.when(F.arrays_overlap(word_list, F.array(*[F.lit(w) for w in dictionary[topic]])), topic)
+        F.when(F.arrays_overlap(mentioned, F.array(*map(F.lit, dictionary[topic]))), topic)
         for topic in sorted(dictionary)
     ]
-    return F.array_compact(F.array(*hits))
+    return F.array_except(F.array(*hits), F.array(F.lit(None).cast("string")))

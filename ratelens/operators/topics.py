@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ratelens.functions.calendar import month_label
 from ratelens.functions.numeric import stable
 from ratelens.functions.parsing import day
-from ratelens.functions.text import HOTEL_TOPICS, joined_text, sentiment, topics_of, words
+from ratelens.functions.text import HOTEL_TOPICS, joined_text, mentioned_words, sentiment, topics_of
 from ratelens.sources.schema import REVIEWS, ReviewColumns
 
 Dictionary = Mapping[str, Sequence[str]]
@@ -46,22 +46,28 @@ def topic_tagging(
 ) -> DataFrame:
     """Text, sentiment and topics of each review.
 
-    Every topic is looked up in the word set of the whole text, row by row and
-    JVM-side: no explode of the words, no join and no shuffle.
+    The whole text is split once and met with the dictionary, row by row and
+    JVM-side: no explode of the words, no join and no shuffle. The topics of a
+    large table are best written once and read by the reports below.
     """
     enriched = derived_sentiment(review_text(df, cols, keep), cols)
     return (
-        enriched.withColumn("words", words(F.col("Review_Text")))
-        .withColumn("Topics", topics_of(F.col("words"), dictionary))
-        .drop("words")
+        enriched.withColumn("mentioned", mentioned_words(F.col("Review_Text"), dictionary))
+        .withColumn("Topics", topics_of(F.col("mentioned"), dictionary))
+        .drop("mentioned")
     )
 
 
+def _one_row_per_topic(enriched: DataFrame, topics: str, *keep: Column) -> DataFrame:
+    """One row per mentioned topic. The outer explode keeps Spark from tagging every
+    text twice, once for a filter on the number of topics."""
+    return enriched.select(*keep, F.explode_outer(topics).alias("Topic")).filter(F.col("Topic").isNotNull())
+
+
 def negative_topic_frequency(enriched: DataFrame, topics: str = "Topics") -> DataFrame:
     """How often each topic occurs in negative reviews."""
     return (
-        enriched.filter(F.col("Derived_Sentiment") == "Negative")
-        .select(F.explode(topics).alias("Topic"))
+        _one_row_per_topic(enriched.filter(F.col("Derived_Sentiment") == "Negative"), topics)
         .groupBy("Topic")
         .agg(F.count("*").alias("Frequency"))
         .orderBy(F.col("Frequency").desc(), "Topic")
@@ -71,7 +77,7 @@ def negative_topic_frequency(enriched: DataFrame, topics: str = "Topics") -> Dat
 def topic_trends(enriched: DataFrame, topics: str = "Topics", cols: ReviewColumns = REVIEWS) -> DataFrame:
     """Mentions of each topic per month. Reviews without a valid date have no month."""
     return (
-        enriched.select(month_label(day(enriched, cols.date)).alias("Month_Year"), F.explode(topics).alias("Topic"))
+        _one_row_per_topic(enriched, topics, month_label(day(enriched, cols.date)).alias("Month_Year"))
         .filter(F.col("Month_Year").isNotNull())
         .groupBy("Month_Year", "Topic")
         .agg(F.count("*").alias("Count"))
@@ -86,21 +92,20 @@ def topic_score_impact(
 
     The texts behind ``enriched`` are the bulk of the table, so they are read
     once: each review also adds a row without a topic, and the group of those
-    rows is the mean of all reviews. The subquery asks for the same sums as the
+    rows is the mean of all reviews. The subquery folds the same groups as the
     main query, which lets Spark reuse its shuffle.
     """
     with_overall = F.explode(F.concat(F.coalesce(topics, F.array()), F.array(F.lit(None).cast("string"))))
-    sums = (
+    groups = (
         enriched.select(F.col(cols.score).cast("double").alias("score"), with_overall.alias("Topic"))
         .groupBy("Topic")
-        .agg(F.sum("score").alias("total"), F.count("score").alias("Count"))
+        .agg(F.sum("score").alias("total"), F.count("score").alias("Count"), F.count("Topic").alias("mentions"))
+        .withColumn("Average_Score", F.try_divide("total", F.nullif("Count", F.lit(0))))
     )
-    mean = F.try_divide("total", "Count")
-    overall = sums.agg(F.max(F.when(F.col("Topic").isNull(), mean))).scalar()
+    overall = groups.agg(F.max(F.when(F.col("mentions") == 0, F.col("Average_Score")))).scalar()
     return (
-        sums.select("Topic", mean.alias("Average_Score"), "Count")
-        .filter(F.col("Topic").isNotNull() & (F.col("Count") >= min_count))
-        .withColumn("Global_Average", overall)
+        groups.filter((F.col("mentions") > 0) & (F.col("Count") >= min_count))
+        .select("Topic", "Average_Score", "Count", overall.alias("Global_Average"))
         .withColumn("Impact", F.col("Average_Score") - F.col("Global_Average"))
         .orderBy(stable("Impact"), "Topic")
     )

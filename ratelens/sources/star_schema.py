@@ -62,13 +62,15 @@ def _supplier_stats(items: DataFrame) -> DataFrame:
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tag = F.split("p_name", " ")
+    first, second = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
+    nights = (F.col("p_size") % 12).cast("string")
+    opening, between, closing = F.lit("[' "), F.lit(" ', ' "), F.lit(" ']")
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"),
         F.col("p_size").alias("Additional_Number_of_Scoring"),
-        F.format_string("[' %s trip ', ' %s ', ' Stayed %d nights ']", tag[0], tag[1], F.col("p_size") % 12).alias(
-            "Tags"
-        ),
+        F.concat(
+            opening, first, F.lit(" trip"), between, second, between, F.lit("Stayed "), nights, F.lit(" nights"), closing
+        ).alias("Tags"),
     )
 
 
