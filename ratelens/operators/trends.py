@@ -78,8 +78,6 @@ def review_trends_udf(df: DataFrame, min_number_of_reviews: int = 30, cols: Revi
         total = daily["total"].to_numpy(dtype=float)
         x = daily["day_number"].to_numpy(dtype=float)
         reviews, mean = n.sum(), total.sum() / n.sum()
-        if reviews < min_number_of_reviews:
-            return daily.iloc[:0].assign(**{c: [] for c in out_names})[out_names]
         dx = x - (n @ x) / reviews
         spread = n @ (dx * dx)
         return pd.DataFrame(
@@ -115,5 +113,4 @@ def review_trends_udf(df: DataFrame, min_number_of_reviews: int = 30, cols: Revi
             T.StructField("Last_Review_Date", T.DateType()),
         ]
     )
-    out_names = schema.names
-    return grouped_map(daily, entity, fit, schema)
+    return grouped_map(daily, entity, fit, schema).filter(F.col("Review_Count") >= min_number_of_reviews)
