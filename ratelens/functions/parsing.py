@@ -57,8 +57,7 @@ def one_row_per_tag(df: DataFrame, name: str, keep: list[str], tag: str = "Singl
 
 def nights(tag: Column) -> Column:
     """Nights named by a stay tag, NULL for any other tag."""
-    found = F.regexp_extract(tag, STAY_NIGHTS_REGEX, 1).try_cast("int")
-    return F.when(tag.like(STAY_TAG_LIKE), found)
+    return F.regexp_extract(tag, STAY_NIGHTS_REGEX, 1).try_cast("int")
 
 
 def region_of(address: str, two_word_regions: dict[str, str] | None = None) -> Column:

@@ -44,20 +44,28 @@ def tag_influence(df: DataFrame, min_count: int = 50, cols: ReviewColumns = REVI
 
 
 def stay_duration(df: DataFrame, min_reviews: int = 10, cols: ReviewColumns = REVIEWS) -> DataFrame:
-    """Mean score per entity and length of stay, read from the stay tags."""
+    """Mean score per entity and length of stay, read from the stay tags.
+
+    Tags without a number of nights fall into a group without a category, which
+    is dropped after the aggregate: as a row filter the number would be extracted
+    twice from each tag.
+    """
     stays = (
         one_row_per_tag(df, cols.tags, [cols.entity, cols.score])
+        .filter(F.col("Single_Tag").like(STAY_TAG_LIKE))
         .select(cols.entity, cols.score, nights(F.col("Single_Tag")).alias("nights"))
-        .filter(F.col("nights") > 0)
+        .withColumn("Stay_Category", F.when(F.col("nights") > 0, bins(F.col("nights"), STAY_BINS, LONG_STAY)))
     )
     return (
-        stays.groupBy(cols.entity, bins(F.col("nights"), STAY_BINS, LONG_STAY).alias("Stay_Category"))
+        stays.groupBy(cols.entity, "Stay_Category")
         .agg(
             F.avg(cols.score).alias("Avg_Score"),
             F.count(cols.score).alias("Review_Count"),
             F.avg("nights").alias("Avg_Nights_Actual"),
+            F.count("Stay_Category").alias("stays"),
         )
-        .filter(F.col("Review_Count") >= min_reviews)
+        .filter((F.col("stays") > 0) & (F.col("Review_Count") >= min_reviews))
+        .drop("stays")
         .orderBy(stable("Avg_Score").desc(), cols.entity, "Stay_Category")
     )
 

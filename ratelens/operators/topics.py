@@ -78,9 +78,9 @@ def topic_trends(enriched: DataFrame, topics: str = "Topics", cols: ReviewColumn
     """Mentions of each topic per month. Reviews without a valid date have no month."""
     return (
         _one_row_per_topic(enriched, topics, month_label(day(enriched, cols.date)).alias("Month_Year"))
-        .filter(F.col("Month_Year").isNotNull())
         .groupBy("Month_Year", "Topic")
-        .agg(F.count("*").alias("Count"))
+        .agg(F.count("Month_Year").alias("Count"))  # 0 without a month
+        .filter(F.col("Count") > 0)
         .orderBy("Month_Year", "Topic")
     )
 

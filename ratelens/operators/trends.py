@@ -14,39 +14,45 @@ from ratelens.sources.schema import REVIEWS, ReviewColumns
 
 
 def _dated_scores(df: DataFrame, min_reviews: int, cols: ReviewColumns) -> DataFrame:
-    """Reviews with a valid date and a score, of entities large enough to have a trend."""
+    """Day and score of the reviews of entities large enough to have a trend.
+
+    The score is NULL where the date is not valid. Such rows are left to the
+    aggregates, which skip NULL: a filter on the day would make Spark parse every
+    date twice, once for the filter and once for the value.
+    """
     if cols.entity_reviews in df.columns:
         df = df.filter(F.col(cols.entity_reviews) >= min_reviews)
     entity_score = F.col(cols.entity_score) if cols.entity_score in df.columns else F.lit(None)
-    return df.select(
+    scored = df.filter(F.col(cols.score).isNotNull()).select(
         cols.entity,
         day(df, cols.date).alias("day"),
         F.col(cols.score).cast("double").alias("score"),
         entity_score.cast("double").alias("entity_score"),
-    ).filter(F.col("day").isNotNull() & F.col("score").isNotNull())
+    )
+    return scored.withColumn("score", F.when(F.col("day").isNotNull(), F.col("score")))
 
 
 def review_trends(df: DataFrame, min_number_of_reviews: int = 30, cols: ReviewColumns = REVIEWS) -> DataFrame:
     """Least-squares slope of the score over days, with count, means and date range.
 
     A table without an entity score or review count has NULL for the one and no
-    pre-filter on the other. All of it is one hash aggregate: each task folds its reviews to a row per
-    entity before the shuffle, so an entity with a third of all reviews costs a
-    row per task. Entities whose reviews fall on a single day have slope 0.
+    pre-filter on the other. All of it is one hash aggregate: each task folds its
+    reviews to a row per entity before the shuffle, so an entity with a third of
+    all reviews costs a row per task. Entities whose reviews fall on a single day
+    have slope 0.
     """
     return (
         _dated_scores(df, min_number_of_reviews, cols)
-        .withColumn("day_number", F.unix_date("day"))
         .groupBy(cols.entity)
         .agg(
-            F.coalesce(F.regr_slope("score", "day_number"), F.lit(0.0)).alias("Trend_Slope"),
-            F.count("*").alias("Review_Count"),
+            F.coalesce(F.regr_slope("score", F.unix_date("day")), F.lit(0.0)).alias("Trend_Slope"),
+            F.count("score").alias("Review_Count"),
             F.avg("score").alias("Average_Score_Calculated"),
             F.round(F.max("entity_score"), 1).alias("Average_Score"),
             F.min("day").alias("First_Review_Date"),
             F.max("day").alias("Last_Review_Date"),
         )
-        .filter(F.col("Review_Count") >= min_number_of_reviews)
+        .filter(F.col("Review_Count") >= max(min_number_of_reviews, 1))
     )
 
 
@@ -96,10 +102,11 @@ def review_trends_udf(df: DataFrame, min_number_of_reviews: int = 30, cols: Revi
         _dated_scores(df, min_number_of_reviews, cols)
         .groupBy(entity, "day")
         .agg(
-            F.count("*").alias("n"),
+            F.count("score").alias("n"),
             F.sum("score").alias("total"),
             F.round(F.max("entity_score"), 1).alias("entity_score"),
         )
+        .filter(F.col("n") > 0)
         .withColumn("day_number", F.unix_date("day"))
     )
     schema = T.StructType(
