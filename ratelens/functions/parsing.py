@@ -41,7 +41,10 @@ def tag_list(df: DataFrame, name: str) -> Column:
     """Array form of a ``"[' a ', ' b ']"`` text field (items are not trimmed)."""
     if isinstance(df.schema[name].dataType, T.ArrayType):
         return F.col(name)
-    return F.split(F.translate(F.col(name), TAG_BRACKETS, ""), TAG_SEPARATOR)
+    text = F.col(name)
+    for mark in TAG_BRACKETS:  # byte-wise; translate and regexp_replace go through every character
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return F.split(text, TAG_SEPARATOR)
 
 
 def one_row_per_tag(df: DataFrame, name: str, keep: list[str], tag: str = "Single_Tag") -> DataFrame:

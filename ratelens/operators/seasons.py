@@ -35,40 +35,38 @@ def seasonal_preferences(
     """Mean score per entity, season and traveller type; ``Other`` covers all reviews.
 
     A review counts for every type whose mark occurs in its tags. Instead of
-    copying it once per type, one aggregate keeps a mean and a count per type
-    side by side; the types become rows only after the reviews are folded to a
-    row per entity and season.
+    copying it once per type, one aggregate keeps a sum and a count per type side
+    by side; the types become rows only after the reviews are folded to a row per
+    entity and season.
     """
     tags = F.col(cols.tags)
     if isinstance(df.schema[cols.tags].dataType, T.ArrayType):
         tags = F.array_join(tags, ",")
-    types = list(traveler_types)
+    marks = {name: F.col("tags").contains(mark.lower()) for name, mark in traveler_types.items()}
+    marks[ANY_TRAVELER] = F.lit(True)
     reviews = df.select(
         cols.entity,
         cols.address,
         season(day(df, cols.date)).alias("Season"),
-        F.col(cols.score).alias("score"),
+        F.col(cols.score).cast("double").alias("score"),
         F.lower(tags).alias("tags"),
         number(df, cols.lat).alias("lat"),
         number(df, cols.lng).alias("lng"),
-    )
-    marked = [F.col("tags").contains(traveler_types[name].lower()) for name in types] + [F.lit(True)]
-    measures = []
-    for i, mark in enumerate(marked):
-        measures += [
-            F.count_if(mark).alias(f"rows_{i}"),
-            F.avg(F.when(mark, F.col("score"))).alias(f"avg_{i}"),
-            F.count(F.when(mark, F.col("score"))).alias(f"count_{i}"),
-        ]
-    segments = [
-        F.struct(
-            F.lit(name).alias("Traveler_Type"),
-            F.col(f"rows_{i}").alias("rows"),
-            F.col(f"avg_{i}").alias("Avg_Score"),
-            F.col(f"count_{i}").alias("Review_Count"),
+    ).withColumns({f"score_{i}": F.when(mark, F.col("score")) for i, mark in enumerate(marks.values())})
+    measures, segments = [], []
+    for i, (name, mark) in enumerate(marks.items()):
+        total, count, rows = f"total_{i}", f"count_{i}", f"rows_{i}"
+        measures += [F.sum(f"score_{i}").alias(total), F.count(f"score_{i}").alias(count)]
+        if min_reviews < 1:  # otherwise a segment that is kept has a review
+            measures.append(F.count_if(mark).alias(rows))
+        segments.append(
+            F.struct(
+                F.lit(name).alias("Traveler_Type"),
+                F.try_divide(total, F.nullif(count, F.lit(0))).alias("Avg_Score"),
+                F.col(count).alias("Review_Count"),
+                F.col(rows if min_reviews < 1 else count).alias("rows"),
+            )
         )
-        for i, name in enumerate([*types, ANY_TRAVELER])
-    ]
     return (
         reviews.groupBy(cols.entity, cols.address, "Season")
         .agg(*measures, F.max("lat").alias("lat"), F.max("lng").alias("lng"))
