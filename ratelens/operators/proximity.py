@@ -16,8 +16,13 @@ from ratelens.sources.schema import REVIEWS, ReviewColumns
 AXES = ("x", "y", "z")
 TOTALS = ("n", "scored", "total")  # entities, entities with a score, sum of their scores
 
-# Pairs of cells this small are compared point by point at once.
-SMALL_PAIR = 16
+# Pairs of cells with at most this many pairs of places are compared place by
+# place at once: halving both would cost more than the comparison.
+SMALL_PAIR = 256
+
+# Comparisons of places allowed per place, and in one pair of cells (so in one task).
+PAIRS_PER_PLACE = 4096
+FEW_PAIRS = 10_000_000
 
 
 def _cells(places: DataFrame, level: int, prefix: str) -> DataFrame:
@@ -76,22 +81,28 @@ def totals_within(places: DataFrame, km_radius: float, pair_budget: int | None =
        beyond it is dropped, and only pairs the distance cuts through are halved
        and compared again.
     3. When the places in the undecided pairs make at most ``pair_budget`` pairs
-       (by default linear in the number of places), those are compared one by one
-       by great-circle distance.
+       (by default linear in the number of places, and no single pair of cells is
+       too much for a task), those are compared one by one.
 
     Every join is on a cube, whose matches are bounded by geometry (27 cubes or
     8 halves), not by how many entities crowd into it.
     """
     chord = 2 * math.sin(min(km_radius / (2 * EARTH_RADIUS_KM), math.pi / 2))
     side = max(chord, 1e-9) * (1 + 1e-6)
-    distance, margin = chord / side, 1e-9 + 1e-12 / side  # rounding: in doubt, compare exactly
+    distance, margin = chord / side, 1e-9 + 1e-12 / side
+    surely, possibly = max(distance - margin, 0.0) ** 2, (distance + margin) ** 2
+    # Only pairs as far apart as the radius, up to rounding, need the great circle.
+    straight = sum(((F.col(a) - F.col(f"b_{a}")) ** 2 for a in AXES), F.lit(0.0))
+    km = haversine_km(F.col("lat"), F.col("lng"), F.col("b_lat"), F.col("b_lng"))
+    within = (straight <= surely) | ((straight <= possibly) & (km <= km_radius))
     sphere = unit_sphere(F.col("lat"), F.col("lng"))
     places = checkpointed(
         places.select("lat", "lng", *[(sphere[a] / side).alias(a) for a in AXES], *TOTALS)
     )
     if pair_budget is None:
-        pair_budget = max(1_000_000, 64 * places.count())
+        pair_budget = max(FEW_PAIRS, PAIRS_PER_PLACE * places.count())
 
+    cells = [f"{p}cell_{a}" for p in ("a_", "b_") for a in AXES]
     steps = F.array(*[F.lit(d) for d in (-1, 0, 1)])
     around = _cells(places, 0, "a_")
     for axis in AXES:
@@ -105,17 +116,18 @@ def totals_within(places: DataFrame, km_radius: float, pair_budget: int | None =
     level = 0
     while True:
         pairs = checkpointed(
-            pairs.filter(_gap_squared() <= (distance + margin) ** 2)
-            .withColumn("inside", _reach_squared() <= max(distance - margin, 0.0) ** 2)
+            pairs.filter(_gap_squared() <= possibly)
+            .withColumn("inside", _reach_squared() <= surely)
             .withColumn("point_pairs", F.col("a_places") * F.col("b_places"))
             .withColumn("small", (F.col("point_pairs") <= SMALL_PAIR) | (_width() <= margin))
+            .select(*cells, *[f"b_{t}" for t in TOTALS], "inside", "point_pairs", "small")
         )
         cut, large = ~F.col("inside"), ~F.col("inside") & ~F.col("small")
-        open_pairs = pairs.filter(large).agg(F.sum("point_pairs")).first()[0] or 0
-        last = open_pairs <= pair_budget
+        work = pairs.filter(large).agg(F.sum("point_pairs").alias("all"), F.max("point_pairs").alias("most")).first()
+        last = (work["all"] or 0) <= pair_budget and (work["most"] or 0) <= FEW_PAIRS
         parts.append(_from_inside(pairs.filter("inside"), places, level))
         parts.append(
-            _from_points(pairs.filter(cut if last else cut & F.col("small")), places, level, km_radius)
+            _from_points(pairs.filter(cut if last else cut & F.col("small")), places, level, within)
         )
         if last:
             break
@@ -142,6 +154,7 @@ def _halved(pairs: DataFrame, places: DataFrame, level: int) -> DataFrame:
 
 
 def _keyed(places: DataFrame, level: int, prefix: str, keep: dict[str, str]) -> DataFrame:
+    """The places with their cell of that level."""
     return places.select(
         *[F.floor(F.col(a) * float(2**level)).alias(f"{prefix}cell_{a}") for a in AXES],
         *[F.col(name).alias(out) for name, out in keep.items()],
@@ -155,16 +168,22 @@ def _from_inside(pairs: DataFrame, places: DataFrame, level: int) -> DataFrame:
     return per_cell.join(_keyed(places, level, "a_", {"lat": "lat", "lng": "lng"}), keys).select("lat", "lng", *TOTALS)
 
 
-def _from_points(pairs: DataFrame, places: DataFrame, level: int, km_radius: float) -> DataFrame:
-    """Totals of the single places within the radius, for pairs of cells it cuts through."""
-    candidates = pairs.select(*[f"{p}cell_{a}" for p in ("a_", "b_") for a in AXES])
-    left = _keyed(places, level, "a_", {"lat": "lat", "lng": "lng"})
-    right = _keyed(places, level, "b_", {"lat": "b_lat", "lng": "b_lng", **{t: t for t in TOTALS}})
-    km = haversine_km(F.col("lat"), F.col("lng"), F.col("b_lat"), F.col("b_lng"))
+def _from_points(pairs: DataFrame, places: DataFrame, level: int, within: Column) -> DataFrame:
+    """Totals of the single places within the radius, for pairs of cells it cuts through.
+
+    The pairs of cells are few bytes but much work, so they are spread over all
+    tasks by number: by size Spark would put them into one or two.
+    """
+    cells = [f"{p}cell_{a}" for p in ("a_", "b_") for a in AXES]
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    candidates = pairs.select(*cells).repartition(tasks, *cells)
+    point = ["lat", "lng", *AXES]
+    left = _keyed(places, level, "a_", {c: c for c in point})
+    right = _keyed(places, level, "b_", {**{c: f"b_{c}" for c in point}, **{t: t for t in TOTALS}})
     return (
         candidates.join(left, [f"a_cell_{a}" for a in AXES])
         .join(right, [f"b_cell_{a}" for a in AXES])
-        .filter(km <= km_radius)
+        .filter(within)
         .groupBy("lat", "lng")
         .agg(*[F.sum(t).alias(t) for t in TOTALS])
     )
