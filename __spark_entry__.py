@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from expected_sql import DOCUMENT_TOPICS, expected_sql  # noqa: E402
-from ratelens.operators.clustering import group_columns, segment_features, segment_kmeans, top_groups  # noqa: E402
+from ratelens.operators.clustering import group_columns_in, segment_features, segment_kmeans, top_groups  # noqa: E402
 from ratelens.operators.entities import top_hotels  # noqa: E402
 from ratelens.operators.groups import (  # noqa: E402
     local_vs_tourist,
@@ -168,8 +168,8 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nationality_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = top_groups(_cluster_reviews(spark, sf_dir))
-    return S.cluster_nationality_mix(clusters(spark, sf_dir), list(group_columns(names).values()))
+    clustered = clusters(spark, sf_dir)
+    return S.cluster_nationality_mix(clustered, group_columns_in(clustered))
 
 
 def regression(spark: SparkSession, sf_dir: str):

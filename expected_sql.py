@@ -406,7 +406,7 @@ def expected_sql() -> dict[str, str]:
             from (select category, avg(score) as m from stays group by 1)"""
         ),
         "stay_top_per_category": _reviews(
-            f"""select {_STAY}, pos as Position from (select *, row_number() over (partition by category
+            f"""select {_STAY}, cast(pos as integer) as Position from (select *, row_number() over (partition by category
             order by round(score, 9) desc, Hotel_Name) as pos from stays) where pos <= 5"""
         ),
         "tag_pattern_coverage": _reviews(

@@ -15,7 +15,7 @@ NO_NEGATIVE = "No Negative"
 NEGATIVE_BELOW = 6.0
 POSITIVE_ABOVE = 8.0
 
-# Topics of a hotel review with the words that mention them.
+# Topic names. The words that mention them are a starting point to extend.
 HOTEL_TOPICS: dict[str, tuple[str, ...]] = {
     "Breakfast": ("breakfast", "buffet", "coffee", "eggs", "croissant"),
     "Room Size": ("size", "spacious", "tiny", "cramped", "small"),

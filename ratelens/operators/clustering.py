@@ -15,6 +15,9 @@ from ratelens.sources.schema import REVIEWS, ReviewColumns
 
 TOP_GROUPS = 10
 
+FEATURE_COLUMNS = ("Avg_Score", "Total_Reviews", "Avg_Pos_Words", "Avg_Neg_Words", "Lat", "Lng", "x", "y", "z")
+RESULT_COLUMNS = ("features_raw", "features", "prediction")
+
 
 def top_groups(df: DataFrame, n: int = TOP_GROUPS, cols: ReviewColumns = REVIEWS) -> list[str]:
     """The ``n`` most frequent reviewer groups (a list of n names reaches the driver)."""
@@ -28,6 +31,11 @@ def group_columns(groups: list[str]) -> dict[str, str]:
     return {name: name.replace(".", "") for name in groups}
 
 
+def group_columns_in(clustered: DataFrame, cols: ReviewColumns = REVIEWS) -> list[str]:
+    """The columns of a clustering result that count reviews of a reviewer group."""
+    return [name for name in clustered.columns if name not in (cols.entity, *FEATURE_COLUMNS, *RESULT_COLUMNS)]
+
+
 def segment_features(
     df: DataFrame, use_location: bool = False, groups: list[str] | None = None, cols: ReviewColumns = REVIEWS
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from ratelens.operators.topics import (
 )
 
 
+# Four tagged reviews with known counts.
 @pytest.fixture(scope="module")
 def enriched(spark):
     return spark.createDataFrame(
