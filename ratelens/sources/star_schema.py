@@ -18,10 +18,12 @@ from ratelens.functions.text import NO_NEGATIVE, NO_POSITIVE
 STAR_REGIONS = {"EAST": "MIDDLE EAST"}
 
 # What each column of the view needs from the other tables.
-_ENTITY = ("Hotel_Name", "Hotel_Address", "lat", "lng")
+_ENTITY = ("Hotel_Name", "lat", "lng")
+_ADDRESS = ("Hotel_Address",)
 _ENTITY_STATS = ("Total_Number_of_Reviews", "Average_Score")
 _PART = ("Tags", "Additional_Number_of_Scoring")
-_REVIEWER = ("Reviewer_Nationality", "Total_Number_of_Reviews_Reviewer_Has_Given")
+_NATIONALITY = ("Reviewer_Nationality",)
+_HISTORY = ("Total_Number_of_Reviews_Reviewer_Has_Given",)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,23 +38,17 @@ def _text_date(column: str) -> Column:
     return F.concat_ws("/", F.month(column), F.dayofmonth(column), F.year(column))
 
 
-def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    unknown_place = key % 17 == 0
-    return (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            key.alias("l_suppkey"),
-            F.col("s_name").alias("Hotel_Name"),
-            F.concat_ws(" ", key, F.lit("Main Street"), "n_name", "r_name").alias("Hotel_Address"),
-            F.when(unknown_place, "NA").otherwise(F.concat(F.lit("45.0"), key % 10)).alias("lat"),
-            F.when(unknown_place, "NA")
-            .otherwise(F.concat(F.lit("9."), F.lpad(F.floor(key / 10).cast("string"), 3, "0")))
-            .alias("lng"),
-        )
+def _regions(spark: SparkSession, sf_dir: str, key: str, prefix: str) -> tuple[DataFrame, DataFrame]:
+    """Nations by ``key`` and their regions, with prefixed columns."""
+    nations = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("long").alias(key),
+        F.col("n_name").alias(f"{prefix}_nation"),
+        F.col("n_regionkey").alias(f"{prefix}_regionkey"),
     )
+    regions = table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias(f"{prefix}_regionkey"), F.col("r_name").alias(f"{prefix}_region")
+    )
+    return nations, regions
 
 
 def _supplier_stats(items: DataFrame) -> DataFrame:
@@ -61,74 +57,80 @@ def _supplier_stats(items: DataFrame) -> DataFrame:
     )
 
 
-def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, second = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
-    nights = (F.col("p_size") % 12).cast("string")
-    opening, between, closing = F.lit("[' "), F.lit(" ', ' "), F.lit(" ']")
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"),
-        F.col("p_size").alias("Additional_Number_of_Scoring"),
-        F.concat(
-            opening, first, F.lit(" trip"), between, second, between, F.lit("Stayed "), nights, F.lit(" nights"), closing
-        ).alias("Tags"),
+def _reviews_given(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Line items per customer, counted per order before the orders move to their customers."""
+    per_order = items.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
+    return (
+        orders.join(per_order, "o_orderkey")
+        .groupBy("o_custkey")
+        .agg(F.sum("n").alias("Total_Number_of_Reviews_Reviewer_Has_Given"))
     )
 
 
-def _reviewers(spark: SparkSession, sf_dir: str, items: DataFrame, columns: Sequence[str]) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    out = orders
-    if "Reviewer_Nationality" in columns:
-        customers = (
-            table(spark, sf_dir, "customer")
-            .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                F.col("c_custkey").alias("o_custkey"),
-                F.concat(F.lit(" "), "r_name", F.lit(" ")).alias("Reviewer_Nationality"),
-            )
-        )
-        out = out.join(customers, "o_custkey")
-    if "Total_Number_of_Reviews_Reviewer_Has_Given" in columns:
-        # Counted per order before the orders are shuffled to their customers.
-        per_order = items.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
-        given = (
-            orders.join(per_order, "o_orderkey")
-            .groupBy("o_custkey")
-            .agg(F.sum("n").alias("Total_Number_of_Reviews_Reviewer_Has_Given"))
-        )
-        out = out.join(given, "o_custkey")
-    return out.withColumnRenamed("o_orderkey", "l_orderkey")
-
-
 def star_reviews(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
     """Line items as reviews, with the given columns of the review table.
 
     Every key of a line item has its match, so a table that feeds none of the
-    columns is left out of the joins. ``review_id`` is unique per review.
+    columns is left out. Each table is joined to the line items directly and not
+    to another one first: Spark then knows its size and broadcasts it only if it
+    is small. ``review_id`` is unique per review.
     """
     items = table(spark, sf_dir, "lineitem")
     reviews = items
 
-    def wants(names: Sequence[str]) -> bool:
+    def wants(*names: str) -> bool:
         return any(name in columns for name in names)
 
-    if wants(_ENTITY):
-        reviews = reviews.join(_suppliers(spark, sf_dir), "l_suppkey")
-    if wants(_ENTITY_STATS):
+    if wants(*_ENTITY, *_ADDRESS):
+        suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").cast("long"))
+        reviews = reviews.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    if wants(*_ADDRESS):
+        nations, regions = _regions(spark, sf_dir, "s_nationkey", "entity")
+        reviews = reviews.join(nations, "s_nationkey").join(regions, "entity_regionkey")
+    if wants(*_ENTITY_STATS):
         reviews = reviews.join(_supplier_stats(items), "l_suppkey")
-    if wants(_PART):
-        reviews = reviews.join(_parts(spark, sf_dir), "l_partkey")
-    if wants(_REVIEWER):
-        reviews = reviews.join(_reviewers(spark, sf_dir, items, columns), "l_orderkey")
-    return reviews.withColumns(
-        {
-            "review_id": F.col("l_orderkey") * 7 + F.col("l_linenumber"),
-            "Review_Date": _text_date("l_shipdate"),
-            "Reviewer_Score": _score(),
-            "Review_Total_Positive_Word_Counts": F.col("l_linenumber"),
-            "Review_Total_Negative_Word_Counts": F.round(F.col("l_discount") * 100).cast("int"),
-        }
-    ).select(*columns)
+    if wants(*_PART):
+        parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+        reviews = reviews.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    if wants(*_NATIONALITY, *_HISTORY):
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        reviews = reviews.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    if wants(*_NATIONALITY):
+        customers = table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("long")
+        )
+        nations, regions = _regions(spark, sf_dir, "c_nationkey", "reviewer")
+        reviews = reviews.join(customers, "o_custkey").join(nations, "c_nationkey").join(regions, "reviewer_regionkey")
+    if wants(*_HISTORY):
+        reviews = reviews.join(_reviews_given(orders, items), "o_custkey")
+    derived = _derived_columns()
+    return reviews.select(*[derived[name].alias(name) if name in derived else F.col(name) for name in columns])
+
+
+def _derived_columns() -> dict[str, Column]:
+    """Review columns made from the columns of the joined tables."""
+    supplier, nights = F.col("s_suppkey"), (F.col("p_size") % 12).cast("string")
+    unknown_place = supplier % 17 == 0
+    first, second = (F.split_part("p_name", F.lit(" "), F.lit(i)) for i in (1, 2))
+    quote = F.lit(" ', ' ")
+    return {
+        "review_id": F.col("l_orderkey") * 7 + F.col("l_linenumber"),
+        "Review_Date": _text_date("l_shipdate"),
+        "Reviewer_Score": _score(),
+        "Review_Total_Positive_Word_Counts": F.col("l_linenumber"),
+        "Review_Total_Negative_Word_Counts": F.round(F.col("l_discount") * 100).cast("int"),
+        "Hotel_Name": F.col("s_name"),
+        "Hotel_Address": F.concat_ws(" ", supplier, F.lit("Main Street"), "entity_nation", "entity_region"),
+        "lat": F.when(unknown_place, "NA").otherwise(F.concat(F.lit("45.0"), supplier % 10)),
+        "lng": F.when(unknown_place, "NA").otherwise(
+            F.concat(F.lit("9."), F.lpad(F.floor(supplier / 10).cast("string"), 3, "0"))
+        ),
+        "Additional_Number_of_Scoring": F.col("p_size"),
+        "Tags": F.concat(
+            F.lit("[' "), first, F.lit(" trip"), quote, second, quote, F.lit("Stayed "), nights, F.lit(" nights ']")
+        ),
+        "Reviewer_Nationality": F.concat(F.lit(" "), "reviewer_region", F.lit(" ")),
+    }
 
 
 def document_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Run the registered queries in Spark and their SQL in DuckDB and compare the rows.
 
     python tests/compare.py [sf_dir] [key ...]
+
+Settings of the session can be given as "name=value,..." in COMPARE_CONF.
 """
 
 from __future__ import annotations
@@ -64,13 +66,15 @@ def main() -> int:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = (
+    builder = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    for setting in filter(None, os.environ.get("COMPARE_CONF", "").split(",")):
+        builder = builder.config(*setting.split("=", 1))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     connection, oracle, bad = duck(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
@@ -79,11 +83,12 @@ def main() -> int:
         start = time.time()
         df = query(spark, sf_dir)
         if name not in oracle:
-            print(f"rows  {name:30} {df.count():7} {time.time() - start:6.2f}s", flush=True)
+            print(f"{name:30} {time.time() - start:6.2f}s rows {df.count()}", flush=True)
             continue
         problem = difference(df, connection, oracle[name])
         bad += problem is not None
-        print(f"{'ok' if problem is None else 'DIFF':5} {name:30} {df.count() if problem is None else problem} {time.time() - start:6.2f}s", flush=True)
+        result = "ok" if problem is None else f"DIFF {problem}"
+        print(f"{name:30} {time.time() - start:6.2f}s {result}", flush=True)
     return bad
 
 
