@@ -51,6 +51,24 @@ def _regions(spark: SparkSession, sf_dir: str, key: str, prefix: str) -> tuple[D
     return nations, regions
 
 
+def _place() -> list[Column]:
+    """Coordinates of a supplier as text; some have none."""
+    key = F.col("s_suppkey")
+    lat = F.concat(F.lit("45.0"), key % 10)
+    lng = F.concat(F.lit("9."), F.lpad(F.floor(key / 10).cast("string"), 3, "0"))
+    return [F.when(key % 17 == 0, "NA").otherwise(text).alias(name) for name, text in (("lat", lat), ("lng", lng))]
+
+
+def _tags() -> Column:
+    """Tags of a part: both words of its name and a number of nights."""
+    first, second = (F.split_part("p_name", F.lit(" "), F.lit(i)) for i in (1, 2))
+    nights = (F.col("p_size") % 12).cast("string")
+    between = F.lit(" ', ' ")
+    return F.concat(
+        F.lit("[' "), first, F.lit(" trip"), between, second, between, F.lit("Stayed "), nights, F.lit(" nights ']")
+    )
+
+
 def _supplier_stats(items: DataFrame) -> DataFrame:
     return items.groupBy("l_suppkey").agg(
         F.count("*").alias("Total_Number_of_Reviews"), F.round(F.avg(_score()), 1).alias("Average_Score")
@@ -82,7 +100,9 @@ def star_reviews(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> Da
         return any(name in columns for name in names)
 
     if wants(*_ENTITY, *_ADDRESS):
-        suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").cast("long"))
+        suppliers = table(spark, sf_dir, "supplier").select(
+            "s_suppkey", F.col("s_name").alias("Hotel_Name"), F.col("s_nationkey").cast("long"), *_place()
+        )
         reviews = reviews.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     if wants(*_ADDRESS):
         nations, regions = _regions(spark, sf_dir, "s_nationkey", "entity")
@@ -90,7 +110,9 @@ def star_reviews(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> Da
     if wants(*_ENTITY_STATS):
         reviews = reviews.join(_supplier_stats(items), "l_suppkey")
     if wants(*_PART):
-        parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+        parts = table(spark, sf_dir, "part").select(
+            "p_partkey", F.col("p_size").alias("Additional_Number_of_Scoring"), _tags().alias("Tags")
+        )
         reviews = reviews.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     if wants(*_NATIONALITY, *_HISTORY):
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -103,34 +125,16 @@ def star_reviews(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> Da
         reviews = reviews.join(customers, "o_custkey").join(nations, "c_nationkey").join(regions, "reviewer_regionkey")
     if wants(*_HISTORY):
         reviews = reviews.join(_reviews_given(orders, items), "o_custkey")
-    derived = _derived_columns()
-    return reviews.select(*[derived[name].alias(name) if name in derived else F.col(name) for name in columns])
-
-
-def _derived_columns() -> dict[str, Column]:
-    """Review columns made from the columns of the joined tables."""
-    supplier, nights = F.col("s_suppkey"), (F.col("p_size") % 12).cast("string")
-    unknown_place = supplier % 17 == 0
-    first, second = (F.split_part("p_name", F.lit(" "), F.lit(i)) for i in (1, 2))
-    quote = F.lit(" ', ' ")
-    return {
+    derived = {
         "review_id": F.col("l_orderkey") * 7 + F.col("l_linenumber"),
         "Review_Date": _text_date("l_shipdate"),
         "Reviewer_Score": _score(),
         "Review_Total_Positive_Word_Counts": F.col("l_linenumber"),
         "Review_Total_Negative_Word_Counts": F.round(F.col("l_discount") * 100).cast("int"),
-        "Hotel_Name": F.col("s_name"),
-        "Hotel_Address": F.concat_ws(" ", supplier, F.lit("Main Street"), "entity_nation", "entity_region"),
-        "lat": F.when(unknown_place, "NA").otherwise(F.concat(F.lit("45.0"), supplier % 10)),
-        "lng": F.when(unknown_place, "NA").otherwise(
-            F.concat(F.lit("9."), F.lpad(F.floor(supplier / 10).cast("string"), 3, "0"))
-        ),
-        "Additional_Number_of_Scoring": F.col("p_size"),
-        "Tags": F.concat(
-            F.lit("[' "), first, F.lit(" trip"), quote, second, quote, F.lit("Stayed "), nights, F.lit(" nights ']")
-        ),
+        "Hotel_Address": F.concat_ws(" ", "s_suppkey", F.lit("Main Street"), "entity_nation", "entity_region"),
         "Reviewer_Nationality": F.concat(F.lit(" "), "reviewer_region", F.lit(" ")),
     }
+    return reviews.select(*[derived[name].alias(name) if name in derived else F.col(name) for name in columns])
 
 
 def document_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
