@@ -31,7 +31,7 @@ def top_hotels_by_nation(
         order.append(F.col(cols.entity))
     window = Window.partitionBy("Nation").orderBy(*order)
     position = F.rank() if ties == "keep" else F.row_number()
-    attributes = [cols.address, cols.entity_score, cols.entity_reviews]
+    attributes = [cols.entity_score, cols.entity_reviews, cols.address]
     attributes += [name for name in (cols.lat, cols.lng) if name in df.columns]
     return (
         entities(df, {name: name for name in attributes}, cols)
