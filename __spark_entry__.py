@@ -46,6 +46,14 @@ from ratelens.sources.files import dataset_row_count  # noqa: E402
 from ratelens.sources.schema import ReviewColumns  # noqa: E402
 from ratelens.sources.star_schema import STAR_REGIONS, document_reviews, star_reviews, table  # noqa: E402
 
+try:  # the operators on training text are optional
+    import corpus_pipeline  # noqa: E402
+    import ratelens.llm.queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "ratelens.llm", "ratelens.llm.queries"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Traveller types that occur in the tags of the given tables.
@@ -272,8 +280,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _then(query, comparable) for name, query in _registered().items()}
+    own = {name: _then(query, comparable) for name, query in _registered().items()}
+    return own | ({**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return expected_sql()
+    return expected_sql() | (llm.oracle_sql() if llm else {})
