@@ -7,6 +7,7 @@ one of its edits + 1 segments, at nearly the same place.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +15,13 @@ from pyspark.sql import functions as F
 from ratelens.functions.checkpoints import checkpointed
 from ratelens.llm.common import text_key, texts_of, written
 
-#: Lines whose ids are sent to all executors (16 MB); more are shuffled.
-BROADCAST_LINES = 1_000_000
+#: Keys that are sent to all executors (16 MB); more are shuffled.
+BROADCAST_KEYS = 1_000_000
+
+#: Indexed lines that a probing line is compared with under one key. Keys of
+#: more lines are refined by what the key leaves out, up to ``LEVELS`` times.
+INDEXED = 16
+LEVELS = 6
 
 
 @dataclass(frozen=True)
@@ -26,7 +32,7 @@ class Lines:
     min_chars: int = 20
 
 
-def segment(length: Column, count: int, number: Column) -> tuple[Column, Column]:
+def segment(length: Column, count: Column, number: Column) -> tuple[Column, Column]:
     """Start (from 1) and length of a segment, when a length is parted evenly; the last ones are the longer."""
     short = F.floor(length / count).cast("int")
     shorter = count - length % count  # so many have the short length
@@ -34,44 +40,65 @@ def segment(length: Column, count: int, number: Column) -> tuple[Column, Column]
     return start, short + F.when(number > shorter, 1).otherwise(0)
 
 
-def index_places(edits: int) -> list[tuple[int, int, int]]:
-    """(longer, number, shift) of the segments of a line itself."""
-    return [(0, number, 0) for number in range(1, edits + 2)]
+def _literals(names: str, rows: list[tuple]) -> Column:
+    """Constant rows, as an array of structs to be inlined."""
+    return F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(names.split(), row, strict=True))) for row in rows))
+
+
+def widened(rows: DataFrame) -> DataFrame:
+    """With four bytes for each character of the line, to cut it without counting."""
+    return rows.withColumn("wide", F.encode("line", "UTF-32"))
 
 
-def probe_places(edits: int) -> list[tuple[int, int, int]]:
-    """Where a line may hold a segment of an indexed line that it is ``longer`` than.
+def whole_lines(lines: DataFrame, edits: int) -> DataFrame:
+    """Each line once as indexed, and once for each length that an indexed line within the edits of it may have.
 
-    A segment with ``number - 1`` before it and the rest behind can have moved
-    by no more than the edits that fall to either side leave.
+    State of a row: the part of the line from ``start`` of ``length`` characters
+    is yet to be matched, within ``left`` edits, with a part of ``other``
+    characters of an indexed line; ``key`` stands for what has matched.
     """
-    return [
-        (longer, number, shift)
-        for longer in range(edits + 1)
-        for number in range(1, edits + 2)
-        for shift in range(
-            max(1 - number, longer - (edits + 1 - number)), min(number - 1, longer + (edits + 1 - number)) + 1
-        )
-    ]
+    roles = _literals("indexed longer", [(True, 0), *((False, longer) for longer in range(edits + 1))])
+    return widened(lines).select("line", "wide", F.char_length("line").alias("length")).select("*", F.inline(roles)).select(
+        "line",
+        "wide",
+        "indexed",
+        F.lit(1).alias("start"),
+        "length",
+        (F.col("length") - F.col("longer")).alias("other"),
+        F.lit(edits).alias("left"),
+        F.xxhash64((F.col("length") - F.col("longer"))).alias("key"),
+    )
 
 
-def keyed(cut: DataFrame, places: list[tuple[int, int, int]], edits: int, name: str) -> DataFrame:
-    """A row for each line and place: the key of what stands there, with the length and number it would have.
+def refined(rows: DataFrame, edits: int) -> DataFrame:
+    """Match one segment of what is left; a row for each segment and each place it may have moved to.
 
-    ``cut`` has name, length and wide: four bytes for each character, to cut
-    it without counting. One short expression for all places, so that the JVM
-    compiles it; an array of all the keys is too long a method for that.
+    Parted into left + 1 segments, some segment matches with fewer edits before
+    it than segments, and no more behind it than it leaves: so it has moved by
+    no more than either. What remains is the part behind the first segment, or
+    before another one. One short expression serves all places, so that the JVM
+    compiles it.
     """
-    names = ("longer", "number", "shift")
-    each = F.array(*(F.struct(*(F.lit(x).alias(n) for x, n in zip(place, names, strict=True))) for place in places))
-    placed = cut.select("name", "length", "wide", F.inline(each))
-    other = F.col("length") - F.col("longer")
-    start, size = segment(other, edits + 1, F.col("number"))
-    at = start + F.col("shift")
-    placed = placed.select("name", "wide", "number", "length", other.alias("other"), at.alias("at"), size.alias("size"))
-    piece = F.substring("wide", 4 * F.col("at") - 3, 4 * F.col("size"))
-    return placed.filter((F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("length"))).select(
-        F.col("name").alias(name), F.xxhash64("other", "number", piece).alias("key")
+    places = _literals("number shift", [(n, s) for n in range(1, edits + 2) for s in range(1 - n, n)])
+    c = F.col
+    moved = c("shift") - (c("length") - c("other"))
+    fits = (c("number") <= c("left") + 1) & (F.abs(moved) <= c("left") + 1 - c("number"))
+    placed = rows.select("*", F.inline(places)).filter(
+        fits & (~c("indexed") | (c("shift") == 0))
+    )
+    first, size = segment(c("other"), c("left") + 1, c("number"))
+    placed = placed.select("*", first.alias("first"), size.alias("size"))
+    at = c("first") + c("shift")
+    behind = c("number") == 1
+    piece = F.substring("wide", 4 * (c("start") + at - 1) - 3, 4 * c("size"))
+    return placed.filter((at >= 1) & (at + c("size") - 1 <= c("length"))).select(
+        "line",
+        "indexed",
+        F.when(behind, c("start") + at + c("size") - 1).otherwise(c("start")).alias("start"),
+        F.when(behind, c("length") - at - c("size") + 1).otherwise(at - 1).alias("length"),
+        F.when(behind, c("other") - c("size")).otherwise(c("first") - 1).alias("other"),
+        F.when(behind, c("left")).otherwise(c("number") - 1).alias("left"),
+        F.xxhash64("key", "number", "other", piece).alias("key"),
     )
 
 
@@ -100,12 +127,12 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     def named(words: list[Column]) -> Column:
         return F.struct(*(word.cast("int").alias(f"e{n}") for n, word in enumerate(words)))
 
-    def step(state: Column, at: Column) -> Column:
+    def matches(at: Column) -> Column:
         letter = F.element_at(a, at)
-        match = F.lit(0)
-        for diagonal in range(width):
-            other = F.get(b, at + F.lit(diagonal - edits - 1))
-            match = match.bitwiseOR(F.when(other == letter, F.lit(1 << diagonal)).otherwise(F.lit(0)))
+        same = (F.get(b, at + F.lit(diagonal - edits - 1)) == letter for diagonal in range(width))
+        return reduce(Column.__add__, (F.when(x, F.lit(1 << d)).otherwise(F.lit(0)) for d, x in enumerate(same)))
+
+    def step(state: Column, match: Column) -> Column:
         words = []
         for n in range(edits + 1):
             word = state[f"e{n}"].bitwiseAND(match)
@@ -116,7 +143,7 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
         return named(closed(words))
 
     first = named(closed([F.lit(1 << edits)] + [F.lit(0)] * edits))
-    last = F.aggregate(F.sequence(F.lit(1), F.size(a)), first, step)[f"e{edits}"]
+    last = F.aggregate(F.transform(F.sequence(F.lit(1), F.size(a)), matches), first, step)[f"e{edits}"]
     final = F.size(b) - F.size(a) + edits
     near = F.abs(F.size(b) - F.size(a)) <= edits
     reached = F.call_function("shiftright", last, F.greatest(final, F.lit(0))).bitwiseAND(F.lit(1)) == 1
@@ -131,40 +158,55 @@ def lines_of(docs: DataFrame, settings: Lines, id_col: str, text_col: str) -> Da
 
 
 def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs (a < b) of hashes of distinct lines that share a segment at a fitting place."""
-    distinct = lines.select("line").distinct()
-    cut = distinct.select(
-        F.xxhash64("line").alias("name"), F.char_length("line").alias("length"), F.encode("line", "UTF-32").alias("wide")
-    )
-    indexed = keyed(cut, index_places(edits), edits, "a")
-    probing = keyed(cut, probe_places(edits), edits, "b")
-    met = indexed.join(probing, "key").filter("a <> b")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def near_lines(lines: DataFrame, settings: Lines) -> DataFrame:
-    """(line_key, n_links, earlier) of lines that are within the edits of others; earlier: one of these comes before."""
-    pairs = checkpointed(candidate_pairs(lines, settings.edits))
-    names = checkpointed(pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct())
-    if names.count() <= BROADCAST_LINES:
-        names = F.broadcast(names)
-    first = F.min(F.struct("doc_id", "at")).alias("first")
-    met = lines.withColumn("name", F.xxhash64("line")).join(names, "name", "left_semi")
-    met = checkpointed(met.groupBy("name", "line").agg(first).withColumn("letters", letters_of(F.col("line"))))
-    of_a = met.toDF("a", "line_a", "first_a", "letters_a")
-    of_b = met.toDF("b", "line_b", "first_b", "letters_b")
-    near = within_edits(F.col("letters_a"), F.col("letters_b"), settings.edits)
-    close = pairs.join(of_a, "a").join(of_b, "b").filter(near)
-    order_a, order_b = F.struct("first_a", "line_a"), F.struct("first_b", "line_b")
-    sides = close.select(
-        F.explode(
-            F.array(
-                F.struct(text_key(F.col("line_a")).alias("line_key"), (order_b < order_a).alias("earlier")),
-                F.struct(text_key(F.col("line_b")).alias("line_key"), (order_a < order_b).alias("earlier")),
-            )
-        ).alias("side")
+    """(line_a, line_b) of distinct lines, in this order, that share a segment at a fitting place.
+
+    First only keys are counted, with partial aggregates: those under which two
+    lines meet are few. Then the lines of these follow. Under a key with many
+    indexed lines another segment has to match, and so on.
+    """
+    rows = refined(whole_lines(lines.select("line"), edits), edits)
+    name = F.xxhash64("line")
+    met = (
+        rows.groupBy("key")
+        .agg(F.min(name).alias("low"), F.max(name).alias("high"), F.max("indexed").alias("some"), F.min("indexed").alias("all"))
+        .filter("low <> high and some and not all")
+        .select("key")
     )
-    return sides.groupBy("side.line_key").agg(F.count("*").alias("n_links"), F.max("side.earlier").alias("earlier"))
+    met = checkpointed(met)
+    if met.count() <= BROADCAST_KEYS:
+        met = F.broadcast(met)
+    rows = written(rows.join(met, "key", "left_semi").distinct())
+    found = []
+    for level in range(LEVELS + 1):
+        crowded = rows.filter("indexed").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > INDEXED).select("key")
+        crowded = checkpointed(crowded)
+        last = level == LEVELS or crowded.isEmpty()
+        few = rows if last else rows.join(crowded, "key", "left_anti")
+        a = few.filter("indexed").select("key", F.col("line").alias("a"))
+        b = few.filter("not indexed").select("key", F.col("line").alias("b"))
+        found.append(a.join(b, "key").filter(F.col("a") != F.col("b")).filter(shares_parts(F.col("a"), F.col("b"), edits)))
+        if last:
+            break
+        rows = written(refined(widened(rows.join(crowded, "key", "left_semi")), edits).distinct())
+    pairs = reduce(DataFrame.unionByName, found)
+    return pairs.select(F.least("a", "b").alias("line_a"), F.greatest("a", "b").alias("line_b")).distinct()
+
+
+def shares_parts(a: Column, b: Column, edits: int) -> Column:
+    """Whether enough parts of one string stand somewhere in the other: each edit spoils one of them."""
+    count = 4 * (edits + 1)
+    held = F.lit(0)
+    for number in range(1, count + 1):
+        start, size = segment(F.char_length(a), F.lit(count), F.lit(number))
+        held = held + F.contains(b, F.substring(a, start, size)).cast("int")
+    return held >= count - edits
+
+
+def near_pairs(lines: DataFrame, settings: Lines) -> DataFrame:
+    """(line_a, line_b), distinct and in this order, that differ by the edits or fewer."""
+    letters = [letters_of(F.col(f"line_{x}")).alias(f"letters_{x}") for x in "ab"]
+    pairs = written(candidate_pairs(lines, settings.edits).select("line_a", "line_b", *letters))
+    return pairs.filter(within_edits(F.col("letters_a"), F.col("letters_b"), settings.edits)).select("line_a", "line_b")
 
 
 def repeated_lines(
@@ -185,11 +227,23 @@ def repeated_lines(
     lines.
     """
     lines = lines_of(docs, settings, id_col, text_col)
-    near = near_lines(lines, settings)
+    key_a, key_b = text_key(F.col("line_a")).alias("key_a"), text_key(F.col("line_b")).alias("key_b")
+    pairs = checkpointed(near_pairs(lines, settings).select(key_a, key_b))
     placed = written(lines.select("doc_id", "at", text_key(F.col("line")).alias("line_key")))
     place = F.struct("doc_id", "at")
-    copies = placed.groupBy("line_key").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
-    known = checkpointed(copies.join(near, "line_key", "full"))
+    firsts = placed.groupBy("line_key").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    of_a = firsts.select(F.col("line_key").alias("key_a"), F.col("first").alias("first_a"))
+    of_b = firsts.select(F.col("line_key").alias("key_b"), F.col("first").alias("first_b"))
+    order_a, order_b = F.struct("first_a", "key_a"), F.struct("first_b", "key_b")
+    sides = _literals("of_a", [(True,), (False,)])
+    near = (
+        pairs.join(of_a, "key_a")
+        .join(of_b, "key_b")
+        .select("key_a", "key_b", (order_b < order_a).alias("b_earlier"), F.inline(sides))
+        .groupBy(F.when(F.col("of_a"), F.col("key_a")).otherwise(F.col("key_b")).alias("line_key"))
+        .agg(F.count("*").alias("n_links"), F.max(F.col("of_a") == F.col("b_earlier")).alias("earlier"))
+    )
+    known = checkpointed(firsts.filter("n > 1").join(near, "line_key", "full"))
     again = F.coalesce("earlier", F.lit(False)) | F.coalesce(place != F.col("first"), F.lit(False))
     return (
         placed.join(known, "line_key")
