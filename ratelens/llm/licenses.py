@@ -19,6 +19,7 @@ SPELLINGS = {
     "licence": "license",
     "licences": "licenses",
     "licenced": "licensed",
+    "sublicence": "sublicense",
     "acknowledgement": "acknowledgment",
     "analogue": "analog",
     "analyse": "analyze",

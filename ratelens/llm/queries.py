@@ -109,21 +109,21 @@ def _license_sql() -> str:
 WITH known(digest, license) AS (VALUES {known}),
 spelling AS (SELECT map([{keys}], [{values}]) AS m),
 lines AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS at
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
     FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
 ),
 words AS (
-    SELECT doc_id, at, list_transform(regexp_extract_all(lower(line), '[\\p{{L}}\\p{{N}}]+'), w -> coalesce(m[w], w)) AS w
+    SELECT doc_id, place, list_transform(regexp_extract_all(lower(line), '[\\p{{L}}\\p{{N}}]+'), lambda w: coalesce(m[w], w)) AS w
     FROM lines, spelling WHERE NOT regexp_matches(line, '^\\s*(?i:copyright\\b|\\(c\\)|©)')
 ),
 units AS (
-    SELECT doc_id, at, md5(array_to_string(w, ' ')) AS digest FROM words WHERE len(w) > 0
+    SELECT doc_id, place, md5(array_to_string(w, ' ')) AS digest FROM words WHERE len(w) > 0
     UNION ALL
-    SELECT doc_id, 0, md5(string_agg(array_to_string(w, ' '), ' ' ORDER BY at)) FROM words WHERE len(w) > 0 GROUP BY doc_id
+    SELECT doc_id, 0, md5(string_agg(array_to_string(w, ' '), ' ' ORDER BY place)) FROM words WHERE len(w) > 0 GROUP BY doc_id
 )
 SELECT doc_id,
-    string_agg(DISTINCT license, ',' ORDER BY license) FILTER (WHERE at = 0) AS whole_license,
-    count(DISTINCT at) FILTER (WHERE at > 0) AS license_lines,
+    string_agg(DISTINCT license, ',' ORDER BY license) FILTER (WHERE place = 0) AS whole_license,
+    count(DISTINCT place) FILTER (WHERE place > 0) AS license_lines,
     string_agg(DISTINCT license, ',' ORDER BY license) AS licenses
 FROM units JOIN known USING (digest) GROUP BY doc_id
 """

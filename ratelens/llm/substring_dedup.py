@@ -113,8 +113,10 @@ def repeated_spans(
     )
 
 
-def without_spans(text: str, spans: list[dict]) -> str:
-    """What is left of a text; white space that a gap would double goes with it."""
+def without_spans(text: str | None, spans: list[dict] | None) -> str | None:
+    """What is left of a text."""
+    if text is None or spans is None:
+        return text
     out, at = [], 0
     for span in spans:
         if span["start"] > at:
@@ -127,12 +129,9 @@ def without_spans(text: str, spans: list[dict]) -> str:
 def drop_repeats(docs: DataFrame, settings: Spans = Spans()) -> DataFrame:
     """All rows and columns of ``docs`` (doc_id, text, others), texts without the sentences of non-first spans."""
     spans = repeated_spans(docs, settings).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
-    cut = F.udf(without_spans, "string")  # only for the rows that lose something
+    cut = F.udf(without_spans, "string")
     return docs.join(spans, F.col("doc_id") == F.col("__id"), "left").select(
         *(
-            F.when(F.col("__spans").isNull(), F.col(name)).otherwise(cut("text", "__spans")).alias(name)
-            if name == "text"
-            else F.col(f"`{name}`")
-            for name in docs.columns
+            cut("text", "__spans").alias(name) if name == "text" else F.col(f"`{name}`") for name in docs.columns
         )
     )

@@ -158,7 +158,7 @@ def judge_urls(
         templates = checkpointed(_merged(templates, level, tree))
     merged = ["host", *(f"m{n}" for n in levels)]
     sums = templates.groupBy(merged).agg(F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
-    overall = templates.agg(F.coalesce(F.sum("blocked") / F.sum("labelled"), F.lit(0.0)).alias("share")).first()["share"]
+    overall = templates.agg(F.coalesce(F.try_divide(F.sum("blocked"), F.sum("labelled")), F.lit(0.0)).alias("share")).first()["share"]
     purity = (F.col("all_blocked") + tree.smoothing * overall) / (F.col("all_labelled") + tree.smoothing)
     template = F.concat(F.lit("/"), F.concat_ws("/", *merged[1:]))
     judged = _matched(templates, sums, merged).select(
