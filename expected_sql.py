@@ -90,7 +90,7 @@ ranked as (
 ),
 composition as (
   select Hotel_Name, string_agg(nat || ' (' || pct || '%)', ', ' order by pct desc, nat) as text
-  from (select Hotel_Name, nat, cast(floor(n / sum(n) over (partition by Hotel_Name) * 100) as int) as pct
+  from (select Hotel_Name, nat, cast(n * 100 // sum(n) over (partition by Hotel_Name) as int) as pct
         from (select Hotel_Name, nat, count(*) as n from r where nat is not null group by 1, 2)) t
   where pct >= 2 group by 1
 ),

@@ -71,10 +71,12 @@ def segment_kmeans(
     use_verbosity: bool = False,
     use_location: bool = False,
     use_nationality: bool = False,
+    n_groups: int = TOP_GROUPS,
+    seed: int = 1,
     cols: ReviewColumns = REVIEWS,
 ) -> DataFrame:
     """Cluster the entities on the chosen standardised features (column ``prediction``)."""
-    groups = top_groups(df, cols=cols) if use_nationality else []
+    groups = top_groups(df, n_groups, cols) if use_nationality else []
     inputs = [
         *(["Avg_Score"] if use_score else []),
         *(["Total_Reviews"] if use_popularity else []),
@@ -90,7 +92,7 @@ def segment_kmeans(
         stages=[
             VectorAssembler(inputCols=inputs, outputCol="features_raw"),
             StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
-            KMeans(featuresCol="features", k=k, seed=1),
+            KMeans(featuresCol="features", k=k, seed=seed),
         ]
     )
     return pipeline.fit(features).transform(features)

@@ -43,15 +43,18 @@ def nationality_composition(df: DataFrame, pct_floor: int = 2, cols: ReviewColum
     Reviews are folded to a row per entity and group before anything is put
     together. Totals come from those rows and are joined back, so no task needs
     all groups of an entity at once; Spark picks the join by the real sizes and
-    splits a hot entity. A floor of p percent leaves at most 100/p names per text.
+    splits a hot entity. A floor of p percent, 1 at least, leaves at most 100/p
+    names per text. Percentages are whole, rounded down exactly.
     """
+    if pct_floor < 1:
+        raise ValueError("a floor under 1 percent would put all groups of an entity into one row")
     counts = (
         df.groupBy(cols.entity, F.trim(cols.group).alias("name"))
         .agg(F.count("*").alias("n"))
         .filter(F.col("name").isNotNull())
     )
     totals = counts.groupBy(cols.entity).agg(F.sum("n").alias("total"))
-    percent = (F.col("n") / F.col("total") * 100).cast("int")
+    percent = F.expr("cast(n * 100 div total as int)")
     named = (
         counts.join(totals, cols.entity)
         .select(cols.entity, "name", percent.alias("percent"))
@@ -123,7 +126,7 @@ def reviewer_experience(
         df.groupBy(cols.entity)
         .agg(*_split_by(levels, cols.score))
         .filter((F.col("Novice_Count") >= min_reviews_per_level) & (F.col("Expert_Count") >= min_reviews_per_level))
-        .na.fill(0)
+        .na.fill(0, subset=[f"{level}_{measure}" for level in levels for measure in ("Avg_Score", "Count")])
         .withColumn("Experience_Gap", F.col("Expert_Avg_Score") - F.col("Novice_Avg_Score"))
         .withColumn(
             "Total_Analyzed_Reviews",

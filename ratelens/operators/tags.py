@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratelens.functions.numeric import bins, global_mean, stable
 from ratelens.functions.parsing import STAY_TAG_LIKE, nights, one_row_per_tag
@@ -70,10 +71,16 @@ def stay_duration(df: DataFrame, min_reviews: int = 10, cols: ReviewColumns = RE
     )
 
 
+def _tags_text(df: DataFrame, cols: ReviewColumns) -> Column:
+    """Tags as one text, of the raw form as of the typed one."""
+    typed = isinstance(df.schema[cols.tags].dataType, T.ArrayType)
+    return (F.array_join(cols.tags, ", ") if typed else F.col(cols.tags)).alias(cols.tags)
+
+
 def tag_pattern_coverage(df: DataFrame, pattern: str = f"%{STAY_TAG_LIKE}", cols: ReviewColumns = REVIEWS) -> DataFrame:
     """Rows in all, rows whose tags text matches ``pattern``, and their percentage."""
     return df.agg(
-        F.count("*").alias("Total_Rows"), F.count_if(F.col(cols.tags).like(pattern)).alias("Matching_Rows")
+        F.count("*").alias("Total_Rows"), F.count_if(_tags_text(df, cols).like(pattern)).alias("Matching_Rows")
     ).withColumn("Coverage_Pct", F.try_divide(F.col("Matching_Rows") * 100.0, F.col("Total_Rows")))
 
 
@@ -81,4 +88,4 @@ def tag_pattern_sample(
     df: DataFrame, pattern: str = f"%{STAY_TAG_LIKE}", n: int = 20, cols: ReviewColumns = REVIEWS
 ) -> DataFrame:
     """The first ``n`` matching tags texts in text order."""
-    return df.select(cols.tags).filter(F.col(cols.tags).like(pattern)).orderBy(cols.tags).limit(n)
+    return df.select(_tags_text(df, cols)).filter(F.col(cols.tags).like(pattern)).orderBy(cols.tags).limit(n)

@@ -269,3 +269,37 @@ def test_csv_bad_numbers_become_null(spark, micro, tmp_path):
     assert read_reviews(spark, path).filter("Reviewer_Score is null").count() == 5
     micro.write.parquet(str(tmp_path / "parquet"))
     assert read_reviews(spark, str(tmp_path / "parquet"), "parquet").count() == 5
+
+
+def test_csv_is_read_by_name(spark, tmp_path):
+    from ratelens.sources.files import read_reviews
+    from ratelens.sources.schema import REVIEW_SCHEMA
+
+    names = [field.name for field in REVIEW_SCHEMA]
+    values = {name: "" for name in names} | {"Hotel_Name": "H1", "Reviewer_Score": "8.5", "lat": "51.5"}
+    for n, order in enumerate((names, names[::-1])):
+        path = tmp_path / f"{n}.csv"
+        path.write_text(",".join(order) + "\n" + ",".join(values[name] for name in order) + "\n")
+        row = read_reviews(spark, str(path)).first()
+        assert (row["Hotel_Name"], row["Reviewer_Score"]) == ("H1", 8.5)
+
+
+def test_null_entity_and_exact_percentages(spark):
+    from ratelens.operators.groups import nationality_composition, reviewer_experience
+    from ratelens.sources.schema import ReviewColumns
+
+    cols = ReviewColumns(entity="e", score="s", history="h", group="g")
+    rows = [(None if n % 2 else 7, float(n % 5), n % 50, "A" if n < 29 else "B") for n in range(100)]
+    df = spark.createDataFrame(rows, "e int, s double, h int, g string")
+    assert {row["e"] for row in reviewer_experience(df, 1, cols=cols).collect()} == {7, None}
+    whole = nationality_composition(df.withColumn("e", df["h"] * 0), cols=cols).first()
+    assert whole["Top_Nationalities"] == "B (71%), A (29%)"
+    with pytest.raises(ValueError):
+        nationality_composition(df, 0, cols=cols)
+
+
+def test_tag_pattern_takes_typed_reviews(spark, micro):
+    from ratelens.operators.tags import tag_pattern_coverage
+    from ratelens.sources.files import normalize_reviews
+
+    assert tag_pattern_coverage(normalize_reviews(micro)).collect() == tag_pattern_coverage(micro).collect()
