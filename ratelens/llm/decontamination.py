@@ -5,15 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelens.llm.common import id_field, map_texts, texts_of
+from ratelens.llm.common import map_texts, texts_of, written
 
 # Words, numbers and the marks that end a sentence.
 _TOKENS = re.compile(r"[^\W\d_]+|\d+(?:[.,:/]\d+)*|[.!?\n]").findall
@@ -77,7 +77,7 @@ class Canonical:
         return ("<name>" if token[0].isupper() else lower), lower
 
     def _grow(self) -> None:
-        new = list(self.known)[len(self.forms) :]
+        new = list(islice(reversed(self.known), len(self.known) - len(self.forms)))[::-1]
         forms = [self.forms_of(token) for token in new]
         self.forms += forms
         hashed = [[xxhash.xxh64_intdigest(form) for form in pair] for pair in forms]
@@ -86,20 +86,26 @@ class Canonical:
         self.slots = np.concatenate([self.slots, np.array(slots, bool).reshape(-1, 2)])
         self.marks = np.concatenate([self.marks, np.array([token in ".!?\n" for token in new], bool)])
 
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
-        """Hash and slot flag of each canonical token; surfaces of all tokens, where the canonical ones are, form used."""
+    def learn(self, texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
+        """Words and marks of each text, and their numbers; the arrays grow once for all texts."""
         if len(self.known) > TOKENS_KEPT:
             self._reset()
-        surface = _TOKENS(text)
-        known = self.known
-        ids = np.fromiter((known.setdefault(token, len(known)) for token in surface), np.int64, len(surface))
+        known, out = self.known, []
+        for text in texts:
+            surface = _TOKENS(text)
+            ids = np.fromiter((known.setdefault(token, len(known)) for token in surface), np.int64, len(surface))
+            out.append((surface, ids))
         if len(known) > len(self.forms):
             self._grow()
+        return iter(out)
+
+    def tokens(self, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of the canonical tokens: hash, slot flag, number, place among words and marks, and whether at a start."""
         marks = self.marks[ids]
         starts = np.append(True, marks[:-1]).astype(np.int64)[: len(ids)]
         places = np.flatnonzero(~marks)
         ids, starts = ids[places], starts[places]
-        return self.hashes[ids, starts], self.slots[ids, starts], ids, [surface, places], starts
+        return self.hashes[ids, starts], self.slots[ids, starts], ids, places, starts
 
     def template(self, ids: np.ndarray, starts: np.ndarray) -> str:
         return " ".join(self.forms[i][s] for i, s in zip(ids.tolist(), starts.tolist(), strict=True))
@@ -138,8 +144,8 @@ def _windows(texts: DataFrame, sizes_of, settings: Templates, keep=None) -> Data
 
         def step(ids, texts):
             out = [[] for _ in schema]
-            for doc_id, text in zip(ids, texts, strict=True):
-                hashes, slots, names, (surface, places), starts = canonical.tokens(text or "")
+            for doc_id, (surface, numbers) in zip(ids, canonical.learn([text or "" for text in texts]), strict=True):
+                hashes, slots, names, places, starts = canonical.tokens(numbers)
                 for size in sizes_of(len(hashes)):
                     at, found = window_hashes(hashes, slots, size, settings.literals)
                     total = len(at)
@@ -211,6 +217,7 @@ def leaks(
     texts = texts_of(docs, id_col, text_col).filter("doc_id is not null and text is not null")
     found = _windows(texts, lambda n: lengths, settings, keep).select("doc_id", *(f.name for f in WINDOW))
     matches = found.join(item_windows, ["hash", "template"]).withColumn("offset", F.col("at") - F.col("item_at"))
+    matches = written(matches)
     occurrence = ["doc_id", "item_id", "offset"]
     slots = (
         matches.select(*occurrence, F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("pair"))
