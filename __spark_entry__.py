@@ -50,7 +50,7 @@ try:  # the operators on training text are optional
     import corpus_pipeline  # noqa: E402
     import ratelens.llm.queries as llm  # noqa: E402
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "ratelens.llm", "ratelens.llm.queries"):
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("ratelens.llm"):
         raise
     llm = None
 
