@@ -95,35 +95,35 @@ def user_value_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review_trends(table(spark, sf_dir, "events"), cols=cols).drop("Average_Score")
 
 
-def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tag_influence(star_reviews(spark, sf_dir, ["Tags", "Reviewer_Score"]))
+def tags(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return tag_influence(star_reviews(spark, sf_dir, ["Tags", "Reviewer_Score"]), **options)
 
 
-def stays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stay_duration(star_reviews(spark, sf_dir, ["Hotel_Name", "Tags", "Reviewer_Score"]))
+def stays(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return stay_duration(star_reviews(spark, sf_dir, ["Hotel_Name", "Tags", "Reviewer_Score"]), **options)
 
 
-def bias(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bias(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     words = ["Review_Total_Positive_Word_Counts", "Review_Total_Negative_Word_Counts"]
-    return nationality_bias(star_reviews(spark, sf_dir, ["Reviewer_Nationality", "Reviewer_Score", *words]))
+    return nationality_bias(star_reviews(spark, sf_dir, ["Reviewer_Nationality", "Reviewer_Score", *words]), **options)
 
 
 def composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nationality_composition(star_reviews(spark, sf_dir, ["Hotel_Name", "Reviewer_Nationality"]))
 
 
-def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+def compared(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     columns = ["Hotel_Name", "Hotel_Address", "Reviewer_Nationality", "Reviewer_Score"]
-    return local_vs_tourist(star_reviews(spark, sf_dir, columns), two_word_regions=STAR_REGIONS)
+    return local_vs_tourist(star_reviews(spark, sf_dir, columns), two_word_regions=STAR_REGIONS, **options)
 
 
-def experience(spark: SparkSession, sf_dir: str) -> DataFrame:
+def experience(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     columns = ["Hotel_Name", "Reviewer_Score", "Total_Number_of_Reviews_Reviewer_Has_Given"]
-    return reviewer_experience(star_reviews(spark, sf_dir, columns), novice_below=25, expert_above=50)
+    return reviewer_experience(star_reviews(spark, sf_dir, columns), novice_below=25, expert_above=50, **options)
 
 
-def competitors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return local_competitiveness(star_reviews(spark, sf_dir, ["Hotel_Name", "Average_Score", "lat", "lng"]))
+def competitors(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return local_competitiveness(star_reviews(spark, sf_dir, ["Hotel_Name", "Average_Score", "lat", "lng"]), **options)
 
 
 def by_nation(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -140,10 +140,10 @@ def best_hotels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_hotels(star_reviews(spark, sf_dir, ["Hotel_Name", "Reviewer_Score"]))
 
 
-def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def segments(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     columns = ["Hotel_Name", "Hotel_Address", "Review_Date", "Reviewer_Score", "Tags", "lat", "lng"]
     return seasonal_preferences(
-        star_reviews(spark, sf_dir, columns), traveler_types=STAR_TYPES, two_word_regions=STAR_REGIONS
+        star_reviews(spark, sf_dir, columns), traveler_types=STAR_TYPES, two_word_regions=STAR_REGIONS, **options
     )
 
 
@@ -206,6 +206,11 @@ def _then(analysis: Query, report: Callable[..., DataFrame], *args, **options) -
     return lambda spark, sf_dir: report(analysis(spark, sf_dir), *args, **options)
 
 
+def _on(analysis: Query, report: Callable[..., DataFrame], *args, **options) -> Query:
+    """A report on the unsorted rows of an analysis."""
+    return lambda spark, sf_dir: report(analysis(spark, sf_dir, ordered=False), *args, **options)
+
+
 def _registered() -> dict[str, Query]:
     tag_rows = ["Tags"]
     return {
@@ -218,43 +223,44 @@ def _registered() -> dict[str, Query]:
         "user_value_trends": user_value_trends,
         # tags
         "tag_influence": tags,
-        "tag_consensus_band": _then(tags, S.tag_consensus_band),
-        "tag_top_positive": _then(tags, S.tag_top_positive),
-        "tag_top_negative": _then(tags, S.tag_top_negative),
+        "tag_consensus_band": _on(tags, S.tag_consensus_band),
+        "tag_top_positive": _on(tags, S.tag_top_positive),
+        "tag_top_negative": _on(tags, S.tag_top_negative),
         "stay_duration": stays,
-        "stay_category_delta": _then(stays, S.stay_category_delta),
-        "stay_top_per_category": _then(stays, S.stay_top_per_category),
+        "stay_category_delta": _on(stays, S.stay_category_delta),
+        "stay_top_per_category": _on(stays, S.stay_top_per_category),
         "tag_pattern_coverage": lambda spark, sf_dir: tag_pattern_coverage(star_reviews(spark, sf_dir, tag_rows)),
         "tag_pattern_sample": lambda spark, sf_dir: tag_pattern_sample(star_reviews(spark, sf_dir, tag_rows)),
         # reviewer groups
         "nationality_bias": bias,
-        "nationality_critics": _then(bias, S.nationality_critics, n=3),
-        "nationality_generous": _then(bias, S.nationality_generous, n=3),
+        "nationality_critics": _on(bias, S.nationality_critics, n=3),
+        "nationality_generous": _on(bias, S.nationality_generous, n=3),
         "nationality_composition": composition,
         "local_vs_tourist": compared,
-        "preference_delta_mean": _then(compared, S.preference_delta_mean),
-        "local_favourites": _then(compared, S.local_favourites),
-        "tourist_favourites": _then(compared, S.tourist_favourites),
-        "nationality_summary_parse": _then(compared, S.nationality_summary_parse),
+        "preference_delta_mean": _on(compared, S.preference_delta_mean),
+        "local_favourites": _on(compared, S.local_favourites),
+        "tourist_favourites": _on(compared, S.tourist_favourites),
+        "nationality_summary_parse": _on(compared, S.nationality_summary_parse),
         "reviewer_experience": experience,
-        "experience_gap_mean": _then(experience, S.experience_gap_mean),
-        "experience_critics": _then(experience, S.experience_critics),
-        "experience_fans": _then(experience, S.experience_fans),
+        "experience_gap_mean": _on(experience, S.experience_gap_mean),
+        "experience_critics": _on(experience, S.experience_critics),
+        "experience_fans": _on(experience, S.experience_fans),
         # neighbourhood, regions, maps
         "local_competitiveness": competitors,
-        "local_gems": _then(competitors, S.local_gems),
-        "local_underperformers": _then(competitors, S.local_underperformers),
+        "local_competitiveness_halved": lambda spark, sf_dir: competitors(spark, sf_dir, pair_limit=16),
+        "local_gems": _on(competitors, S.local_gems),
+        "local_underperformers": _on(competitors, S.local_underperformers),
         "top_hotels_by_nation": by_nation,
         "top_hotels_by_nation_untied": lambda spark, sf_dir: by_nation(spark, sf_dir, ties="drop"),
-        "map_centroid": _then(by_nation, S.map_centroid),
+        "map_centroid": _on(by_nation, S.map_centroid),
         "top_parts_by_brand": top_parts_by_brand,
         "top_hotels": best_hotels,
         "dataset_row_count": lambda spark, sf_dir: dataset_row_count(table(spark, sf_dir, "lineitem")),
         # seasons
         "seasonal_preferences": segments,
-        "seasonal_select": _then(segments, S.seasonal_select, seasons=["Summer", "Winter"], types=["Hot", "Old"]),
-        "season_entities": _then(segments, S.season_entities),
-        "season_heatmap": _then(segments, S.season_heatmap),
+        "seasonal_select": _on(segments, S.seasonal_select, seasons=["Summer", "Winter"], types=["Hot", "Old"]),
+        "season_entities": _on(segments, S.season_entities),
+        "season_heatmap": _on(segments, S.season_heatmap),
         # models
         "segment_features": features,
         "segment_kmeans": clusters,

@@ -442,6 +442,7 @@ def expected_sql() -> dict[str, str]:
         ),
         # neighbourhood, regions, maps
         "local_competitiveness": _reviews(f"select {_NEAR} from near"),
+        "local_competitiveness_halved": _reviews(f"select {_NEAR} from near"),
         "local_gems": _reviews(
             f"select {_NEAR} from near where round(delta, 9) > 0 order by round(delta, 9) desc, Hotel_Name limit 10"
         ),

@@ -7,37 +7,62 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.functions.numeric import avg_where, count_where, global_mean, stable
+from ratelens.functions.checkpoints import checkpointed
+from ratelens.functions.numeric import avg_where, count_where, stable
 from ratelens.functions.parsing import region_of
 from ratelens.sources.schema import REVIEWS, ReviewColumns
 
+# Smallest share, in percent, that a composition text names.
+PCT_FLOOR = 2
 
-def nationality_bias(df: DataFrame, min_reviews: int = 50, cols: ReviewColumns = REVIEWS) -> DataFrame:
-    """How generous each reviewer group is, against the mean over all reviews."""
-    total_words = F.col("Total_Words_Avg")
-    return (
-        df.withColumn(cols.group, F.trim(cols.group))
-        .filter(F.col(cols.group) != "")
-        .groupBy(cols.group)
+
+def nationality_bias(
+    df: DataFrame, min_reviews: int = 50, cols: ReviewColumns = REVIEWS, ordered: bool = True
+) -> DataFrame:
+    """How generous each reviewer group is, against the mean over all reviews.
+
+    Reviews without a group are folded like the others, so that the mean over
+    all comes from the groups. The subquery sums every measure, which lets Spark
+    reuse the shuffle of the main query. Without ``ordered`` the rows come
+    unsorted, for a report on them.
+    """
+    measures = {"score": cols.score, "positive": cols.positive_words, "negative": cols.negative_words}
+    groups = (
+        df.groupBy(F.trim(cols.group).alias(cols.group))
         .agg(
-            F.count(cols.score).alias("Count"),
-            F.avg(cols.score).alias("Average_Score"),
-            F.avg(cols.positive_words).alias("Avg_Positive_Words"),
-            F.avg(cols.negative_words).alias("Avg_Negative_Words"),
+            F.count(F.nullif(F.trim(cols.group), F.lit(""))).alias("named"),
+            *[F.sum(F.col(source).cast("double")).alias(f"{name}_total") for name, source in measures.items()],
+            *[F.count(source).alias(f"{name}_count") for name, source in measures.items()],
+        )
+    )
+    sums = [F.sum(name).alias(name) for name in groups.columns[1:]]
+    every = groups.agg(F.struct(*sums)).scalar()
+
+    def mean(total: Column, count: Column) -> Column:
+        return F.try_divide(total, F.nullif(count, F.lit(0)))
+
+    total_words = F.col("Total_Words_Avg")
+    result = (
+        groups.filter((F.col("named") > 0) & (F.col("score_count") >= min_reviews))
+        .select(
+            cols.group,
+            F.col("score_count").alias("Count"),
+            mean(F.col("score_total"), F.col("score_count")).alias("Average_Score"),
+            mean(F.col("positive_total"), F.col("positive_count")).alias("Avg_Positive_Words"),
+            mean(F.col("negative_total"), F.col("negative_count")).alias("Avg_Negative_Words"),
+            mean(every["score_total"], every["score_count"]).alias("Global_Average"),
         )
-        .filter(F.col("Count") >= min_reviews)
-        .withColumn("Global_Average", global_mean(df, cols.score))
         .withColumn("Score_Deviation", F.col("Average_Score") - F.col("Global_Average"))
         .withColumn("Total_Words_Avg", F.col("Avg_Positive_Words") + F.col("Avg_Negative_Words"))
         .withColumn(
             "Sentiment_Ratio",
             F.coalesce(F.try_divide("Avg_Positive_Words", F.nullif(total_words, F.lit(0.0))), F.lit(0.0)),
         )
-        .orderBy(stable("Score_Deviation").desc(), cols.group)
     )
+    return result.orderBy(stable("Score_Deviation").desc(), cols.group) if ordered else result
 
 
-def nationality_composition(df: DataFrame, pct_floor: int = 2, cols: ReviewColumns = REVIEWS) -> DataFrame:
+def nationality_composition(df: DataFrame, pct_floor: int = PCT_FLOOR, cols: ReviewColumns = REVIEWS) -> DataFrame:
     """Reviewer groups of each entity as one text, ``"A (45%), B (21%)"``, largest first.
 
     Reviews are folded to a row per entity and group before anything is put
@@ -48,11 +73,13 @@ def nationality_composition(df: DataFrame, pct_floor: int = 2, cols: ReviewColum
     """
     if pct_floor < 1:
         raise ValueError("a floor under 1 percent would put all groups of an entity into one row")
-    counts = (
-        df.groupBy(cols.entity, F.trim(cols.group).alias("name"))
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("name").isNotNull())
-    )
+    counts = df.groupBy(cols.entity, F.trim(cols.group).alias("name")).agg(F.count("*").alias("n"))
+    return _composition(counts, pct_floor, cols)
+
+
+def _composition(counts: DataFrame, pct_floor: int, cols: ReviewColumns) -> DataFrame:
+    """The texts, from rows (entity, name, n); groups without a name are left out."""
+    counts = counts.filter(F.col("name").isNotNull())
     totals = counts.groupBy(cols.entity).agg(F.sum("n").alias("total"))
     percent = F.expr("cast(n * 100 div total as int)")
     named = (
@@ -87,24 +114,44 @@ def local_vs_tourist(
     min_reviews_per_group: int = 10,
     two_word_regions: dict[str, str] | None = None,
     cols: ReviewColumns = REVIEWS,
+    ordered: bool = True,
 ) -> DataFrame:
     """Mean score given by reviewers of the entity's own region against all others.
 
-    Reviewers without a group count as tourists. Both sides come out of one
-    aggregate; the composition text is joined to the entities that are kept.
+    Reviewers without a group count as tourists. The reviews are folded once, to
+    a row per entity, region and reviewer group, and kept in the checkpoint
+    folder: both sides and the composition text come from those rows. Without
+    ``ordered`` the rows come unsorted, for a report on them.
     """
-    is_local = F.col("Hotel_Nation") == F.trim(cols.group)
-    local = F.coalesce(is_local, F.lit(False))
+    folded = checkpointed(
+        df.groupBy(
+            cols.entity,
+            region_of(cols.address, two_word_regions).alias("Hotel_Nation"),
+            F.trim(cols.group).alias("name"),
+        ).agg(
+            F.sum(F.col(cols.score).cast("double")).alias("total"),
+            F.count(cols.score).alias("scored"),
+            F.count("*").alias("n"),
+        )
+    )
+    local = F.coalesce(F.col("Hotel_Nation") == F.col("name"), F.lit(False))
+    measures = []
+    for label, side in {"Local": local, "Tourist": ~local}.items():
+        count = F.sum(F.when(side, F.col("scored")))  # NULL without a group on this side
+        total = F.sum(F.when(side, F.col("total")))
+        measures += [
+            F.try_divide(total, F.nullif(count, F.lit(0))).alias(f"{label}_Avg_Score"),
+            count.alias(f"{label}_Count"),
+        ]
     compared = (
-        df.withColumn("Hotel_Nation", region_of(cols.address, two_word_regions))
-        .groupBy(cols.entity, "Hotel_Nation")
-        .agg(*_split_by({"Local": local, "Tourist": ~local}, cols.score))
+        folded.groupBy(cols.entity, "Hotel_Nation")
+        .agg(*measures)
         .filter((F.col("Local_Count") >= min_reviews_per_group) & (F.col("Tourist_Count") >= min_reviews_per_group))
         .withColumn("Preference_Delta", F.col("Local_Avg_Score") - F.col("Tourist_Avg_Score"))
     )
-    return compared.join(nationality_composition(df, cols=cols), cols.entity, "left").orderBy(
-        stable("Preference_Delta").desc(), cols.entity
-    )
+    counts = folded.groupBy(cols.entity, "name").agg(F.sum("n").alias("n"))
+    result = compared.join(_composition(counts, PCT_FLOOR, cols), cols.entity, "left")
+    return result.orderBy(stable("Preference_Delta").desc(), cols.entity) if ordered else result
 
 
 def reviewer_experience(
@@ -113,16 +160,18 @@ def reviewer_experience(
     novice_below: int = 5,
     expert_above: int = 25,
     cols: ReviewColumns = REVIEWS,
+    ordered: bool = True,
 ) -> DataFrame:
     """Mean score by reviewer experience, and the gap between experts and novices.
 
     A reviewer without a history counts as an expert. Levels an entity lacks are 0.
+    Without ``ordered`` the rows come unsorted, for a report on them.
     """
     history = F.col(cols.history)
     novice = F.coalesce(history < novice_below, F.lit(False))
     intermediate = F.coalesce(history.between(novice_below, expert_above), F.lit(False))
     levels = {"Novice": novice, "Intermediate": intermediate, "Expert": ~(novice | intermediate)}
-    return (
+    result = (
         df.groupBy(cols.entity)
         .agg(*_split_by(levels, cols.score))
         .filter((F.col("Novice_Count") >= min_reviews_per_level) & (F.col("Expert_Count") >= min_reviews_per_level))
@@ -132,5 +181,5 @@ def reviewer_experience(
             "Total_Analyzed_Reviews",
             F.col("Novice_Count") + F.col("Intermediate_Count") + F.col("Expert_Count"),
         )
-        .orderBy(stable("Experience_Gap"), cols.entity)
     )
+    return result.orderBy(stable("Experience_Gap"), cols.entity) if ordered else result

@@ -17,12 +17,9 @@ AXES = ("x", "y", "z")
 TOTALS = ("n", "scored", "total")  # entities, entities with a score, sum of their scores
 
 # Pairs of cells with at most this many pairs of places are compared place by
-# place at once: halving both would cost more than the comparison.
-SMALL_PAIR = 256
-
-# Comparisons of places allowed per place, and in one pair of cells (so in one task).
-PAIRS_PER_PLACE = 4096
-FEW_PAIRS = 10_000_000
+# place: halving both would cost more. A cell meets 27 others at most, so this
+# also bounds the comparisons under one join key, at any size of the data.
+PAIR_LIMIT = 10_000
 
 
 def _cells(places: DataFrame, level: int, prefix: str) -> DataFrame:
@@ -67,7 +64,7 @@ def _width() -> Column:
     return F.greatest(*[F.col(f"{p}max_{a}") - F.col(f"{p}min_{a}") for p in ("a_", "b_") for a in AXES])
 
 
-def totals_within(places: DataFrame, km_radius: float, pair_budget: int | None = None) -> DataFrame:
+def totals_within(places: DataFrame, km_radius: float, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """Totals of all places within the radius of each place, itself included.
 
     ``places`` has one row per distinct ``lat``, ``lng`` with the columns of
@@ -80,9 +77,8 @@ def totals_within(places: DataFrame, km_radius: float, pair_budget: int | None =
        within the distance adds the totals of the one to the other, a pair wholly
        beyond it is dropped, and only pairs the distance cuts through are halved
        and compared again.
-    3. When the places in the undecided pairs make at most ``pair_budget`` pairs
-       (by default linear in the number of places, and no single pair of cells is
-       too much for a task), those are compared one by one.
+    3. Pairs of cubes with at most ``pair_limit`` pairs of places are compared
+       place by place, all others are halved, however many there are.
 
     Every join is on a cube, whose matches are bounded by geometry (27 cubes or
     8 halves), not by how many entities crowd into it.
@@ -99,8 +95,6 @@ def totals_within(places: DataFrame, km_radius: float, pair_budget: int | None =
     places = checkpointed(
         places.select("lat", "lng", *[(sphere[a] / side).alias(a) for a in AXES], *TOTALS)
     )
-    if pair_budget is None:
-        pair_budget = max(FEW_PAIRS, PAIRS_PER_PLACE * places.count())
 
     cells = [f"{p}cell_{a}" for p in ("a_", "b_") for a in AXES]
     steps = F.array(*[F.lit(d) for d in (-1, 0, 1)])
@@ -119,20 +113,17 @@ def totals_within(places: DataFrame, km_radius: float, pair_budget: int | None =
             pairs.filter(_gap_squared() <= possibly)
             .withColumn("inside", _reach_squared() <= surely)
             .withColumn("point_pairs", F.col("a_places") * F.col("b_places"))
-            .withColumn("small", (F.col("point_pairs") <= SMALL_PAIR) | (_width() <= margin))
+            .withColumn("small", (F.col("point_pairs") <= pair_limit) | (_width() <= margin))
             .select(*cells, *[f"b_{t}" for t in TOTALS], "inside", "point_pairs", "small")
         )
-        cut, large = ~F.col("inside"), ~F.col("inside") & ~F.col("small")
-        work = pairs.filter(large).agg(F.sum("point_pairs").alias("all"), F.max("point_pairs").alias("most")).first()
-        last = (work["all"] or 0) <= pair_budget and (work["most"] or 0) <= FEW_PAIRS
+        cut, small = ~F.col("inside"), F.col("small")
         parts.append(_from_inside(pairs.filter("inside"), places, level))
-        parts.append(
-            _from_points(pairs.filter(cut if last else cut & F.col("small")), places, level, within)
-        )
-        if last:
+        parts.append(_from_points(pairs.filter(cut & small), places, level, within))
+        pairs = pairs.filter(cut & ~small)
+        if pairs.isEmpty():
             break
         level += 1
-        pairs = _halved(pairs.filter(large), places, level)
+        pairs = _halved(pairs, places, level)
 
     result = parts[0]
     for part in parts[1:]:
@@ -172,11 +163,12 @@ def _from_points(pairs: DataFrame, places: DataFrame, level: int, within: Column
     """Totals of the single places within the radius, for pairs of cells it cuts through.
 
     The pairs of cells are few bytes but much work, so they are spread over all
-    tasks by number: by size Spark would put them into one or two.
+    tasks by number: by size Spark would put them into one or two. They are
+    dealt by the key of the join that follows, which then needs no exchange.
     """
     cells = [f"{p}cell_{a}" for p in ("a_", "b_") for a in AXES]
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    candidates = pairs.select(*cells).repartition(tasks, *cells)
+    candidates = pairs.select(*cells).repartition(tasks, *[f"a_cell_{a}" for a in AXES])
     point = ["lat", "lng", *AXES]
     left = _keyed(places, level, "a_", {c: c for c in point})
     right = _keyed(places, level, "b_", {**{c: f"b_{c}" for c in point}, **{t: t for t in TOTALS}})
@@ -193,13 +185,15 @@ def local_competitiveness(
     df: DataFrame,
     km_radius: float = 2.0,
     min_competitors: int = 3,
-    pair_budget: int | None = None,
+    pair_limit: int = PAIR_LIMIT,
     cols: ReviewColumns = REVIEWS,
+    ordered: bool = True,
 ) -> DataFrame:
     """Score of each entity against the mean score of the others within ``km_radius``.
 
     Entities at one and the same spot are folded to a place first. Each entity
-    then takes the totals around its place, less its own share.
+    then takes the totals around its place, less its own share. Without
+    ``ordered`` the rows come unsorted, for a report on them.
     """
     hotels = checkpointed(
         entities(df, {"Average_Score": cols.entity_score, "lat": cols.lat, "lng": cols.lng}, cols).filter(
@@ -214,8 +208,8 @@ def local_competitiveness(
     )
     others = F.col("scored") - F.when(score.isNull(), 0).otherwise(1)
     others_total = F.col("total") - F.coalesce(score, F.lit(0.0))
-    return (
-        hotels.join(totals_within(places, km_radius, pair_budget), ["lat", "lng"])
+    result = (
+        hotels.join(totals_within(places, km_radius, pair_limit), ["lat", "lng"])
         .select(
             cols.entity,
             "Average_Score",
@@ -225,5 +219,5 @@ def local_competitiveness(
         .filter(F.col("Competitor_Count") >= F.greatest(F.lit(min_competitors), F.lit(1)))
         .withColumn("Score_Delta", score - F.col("Neighborhood_Avg_Score"))
         .withColumn("Status", F.when(stable("Score_Delta") > 0, "Outperformer").otherwise("Underperformer"))
-        .orderBy(stable("Score_Delta").desc(), cols.entity)
     )
+    return result.orderBy(stable("Score_Delta").desc(), cols.entity) if ordered else result

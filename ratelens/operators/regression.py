@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratelens.functions.checkpoints import checkpointed
 from ratelens.sources.schema import REVIEWS, ReviewColumns
 
 
@@ -40,7 +41,8 @@ def satisfaction_regression(
     should hash a stable key; by default it hashes the numbers themselves, so
     equal rows fall on the same side. Either way the split does not depend on how
     the table is partitioned, and a re-run after a lost executor sees the same
-    rows. The normal equations need one pass, folded map-side to a 7x7 matrix.
+    rows. The reviews are read once: their eight numbers are kept in the
+    checkpoint folder. The normal equations are folded map-side to a 7x7 matrix.
     """
     features = feature_names(cols)
     if in_training is None:
@@ -50,6 +52,7 @@ def satisfaction_regression(
         *[F.col(c).cast("double").alias(c) for c in numbers],
         F.coalesce(in_training, F.lit(False)).alias("in_training"),
     ).dropna(subset=numbers)
+    rows = checkpointed(rows)  # for the fit, its summary and the test rows
     pipeline = Pipeline(
         stages=[
             VectorAssembler(inputCols=features, outputCol="features"),

@@ -31,13 +31,14 @@ def seasonal_preferences(
     traveler_types: Mapping[str, str] = TRAVELER_TYPES,
     two_word_regions: dict[str, str] | None = None,
     cols: ReviewColumns = REVIEWS,
+    ordered: bool = True,
 ) -> DataFrame:
     """Mean score per entity, season and traveller type; ``Other`` covers all reviews.
 
     A review counts for every type whose mark occurs in its tags. Instead of
     copying it once per type, one aggregate keeps a sum and a count per type side
     by side; the types become rows only after the reviews are folded to a row per
-    entity and season.
+    entity and season. Without ``ordered`` the rows come unsorted, for a report on them.
     """
     tags = F.col(cols.tags)
     if isinstance(df.schema[cols.tags].dataType, T.ArrayType):
@@ -67,7 +68,7 @@ def seasonal_preferences(
                 F.col(rows if min_reviews < 1 else count).alias("rows"),
             )
         )
-    return (
+    result = (
         reviews.groupBy(cols.entity, cols.address, "Season")
         .agg(*measures, F.max("lat").alias("lat"), F.max("lng").alias("lng"))
         .select(cols.entity, cols.address, "Season", "lat", "lng", F.inline(F.array(*segments)))
@@ -83,5 +84,6 @@ def seasonal_preferences(
             "lng",
             region_of(cols.address, two_word_regions).alias("Nation"),
         )
-        .orderBy(stable("Avg_Score").desc(), cols.entity, cols.address, "Season", "Traveler_Type")
     )
+    order = [stable("Avg_Score").desc(), cols.entity, cols.address, "Season", "Traveler_Type"]
+    return result.orderBy(*order) if ordered else result

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratelens.operators.proximity import local_competitiveness, totals_within
+from ratelens.operators.proximity import PAIR_LIMIT, local_competitiveness, totals_within
 
 R = 6371.0
 
@@ -37,26 +37,26 @@ def points(kind, rng, n):
 
 
 @pytest.mark.parametrize(
-    "kind, km, budget",
+    "kind, km, limit",
     [
-        ("world", 500.0, None),
-        ("world", 20_100.0, 0),
-        ("pole", 1.5, 0),
-        ("date line", 2.0, 0),
-        ("city", 0.5, 0),
+        ("world", 500.0, PAIR_LIMIT),
+        ("world", 20_100.0, 256),
+        ("pole", 1.5, 256),
+        ("date line", 2.0, 256),
+        ("city", 0.5, 256),
         ("city", 2.0, 500),
-        ("city", 0.01, 0),
-        ("grid", 1.0, 0),
-        ("grid", 0.0, 0),
+        ("city", 0.01, 256),
+        ("grid", 1.0, 256),
+        ("grid", 0.0, 256),
     ],
 )
-def test_totals_equal_brute_force(spark, kind, km, budget):
+def test_totals_equal_brute_force(spark, kind, km, limit):
     rng = np.random.default_rng(7)
     lat, lng = points(kind, rng, 400)
     weight = rng.integers(1, 100, len(lat)).astype(float)
     rows = [(float(a), float(b), 1, 1, float(w)) for a, b, w in zip(lat, lng, weight)]
     places = spark.createDataFrame(rows, "lat double, lng double, n long, scored long, total double")
-    found = {(r["lat"], r["lng"]): (r["n"], r["total"]) for r in totals_within(places, km, budget).collect()}
+    found = {(r["lat"], r["lng"]): (r["n"], r["total"]) for r in totals_within(places, km, limit).collect()}
     counts, totals = brute_force(lat, lng, weight, km)
     assert found == {(a, b): (c, t) for a, b, c, t in zip(lat.tolist(), lng.tolist(), counts.tolist(), totals.tolist())}
 
@@ -73,7 +73,7 @@ def test_hot_spot(spark):
         for i in range(n)
     ]
     df = spark.createDataFrame(rows, "Hotel_Name string, Average_Score double, lat double, lng double")
-    found = {r["Hotel_Name"]: r for r in local_competitiveness(df, 0.3, 3, pair_budget=0).collect()}
+    found = {r["Hotel_Name"]: r for r in local_competitiveness(df, 0.3, 3, pair_limit=256).collect()}
     placed = [r for r in rows if r[2] is not None]
     a, b = np.array([r[2] for r in placed]), np.array([r[3] for r in placed])
     scored = np.array([0.0 if r[1] is None else 1.0 for r in placed])
@@ -105,7 +105,7 @@ def test_dense_area_is_not_compared_pair_by_pair(spark, monkeypatch):
     lat, lng = 45 + rng.uniform(0, 0.02, n), 9 + rng.uniform(0, 0.02, n)
     rows = [(float(a), float(b), 1, 1, 1.0) for a, b in zip(lat, lng)]
     places = spark.createDataFrame(rows, "lat double, lng double, n long, scored long, total double")
-    found = totals_within(places, 1.0, pair_budget=0).agg(F.sum("n")).first()[0]
+    found = totals_within(places, 1.0, pair_limit=256).agg(F.sum("n")).first()[0]
     counts, _ = brute_force(lat, lng, np.ones(n), 1.0)
     assert found == counts.sum()
     assert sum(compared) < n * n / 4
