@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from expected_sql import DOCUMENT_TOPICS, expected_sql  # noqa: E402
+from ratelens.functions.checkpoints import checkpointed  # noqa: E402
 from ratelens.operators.clustering import group_columns_in, segment_features, segment_kmeans, top_groups  # noqa: E402
 from ratelens.operators.entities import top_hotels  # noqa: E402
 from ratelens.operators.groups import (  # noqa: E402
@@ -180,6 +181,37 @@ def nationality_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.cluster_nationality_mix(clustered, group_columns_in(clustered))
 
 
+def clusters_in_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of any clustering: entities and clusters in all, and sums of the features."""
+    sums = ["Avg_Score", "Total_Reviews", "Avg_Pos_Words", "Avg_Neg_Words", "Lat", "Lng"]
+    return clusters(spark, sf_dir).agg(
+        F.count("*").alias("Entities"),
+        F.count_distinct("prediction").alias("Clusters"),
+        *[F.sum(F.col(name).cast("double")).alias(f"Sum_{name}") for name in sums],
+    )
+
+
+def profile_in_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The means of the clusters, weighted by their entities: those over all entities."""
+    means = ["Avg_Score", "Total_Reviews", "Avg_Pos_Words", "Avg_Neg_Words", "Lat", "Lng"]
+    return S.cluster_profile(clusters(spark, sf_dir)).agg(
+        F.sum("Count").alias("Entities"),
+        *[(F.sum(F.col(name) * F.col("Count")) / F.sum("Count")).alias(name) for name in means],
+    )
+
+
+def mix_in_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean reviews of each reviewer group, times the entities of the clusters: all its reviews."""
+    clustered = checkpointed(clusters(spark, sf_dir).drop("features_raw", "features"))
+    counts = S.cluster_profile(clustered).select("prediction", "Count")
+    return (
+        S.cluster_nationality_mix(clustered, group_columns_in(clustered))
+        .join(counts, "prediction")
+        .groupBy("Nation")
+        .agg(F.round(F.sum(F.col("Avg_Reviews_Count") * F.col("Count"))).cast("long").alias("Reviews"))
+    )
+
+
 def regression(spark: SparkSession, sf_dir: str):
     reviews = star_reviews(spark, sf_dir, [*feature_names(), "Reviewer_Score", "review_id"])
     return satisfaction_regression(reviews, in_training=F.pmod("review_id", F.lit(10)) < 8)
@@ -266,6 +298,9 @@ def _registered() -> dict[str, Query]:
         "segment_kmeans": clusters,
         "cluster_profile": _then(clusters, S.cluster_profile),
         "cluster_nationality_mix": nationality_mix,
+        "segment_kmeans_in_all": clusters_in_all,
+        "cluster_profile_in_all": profile_in_all,
+        "cluster_nationality_mix_in_all": mix_in_all,
         "satisfaction_regression": lambda spark, sf_dir: regression(spark, sf_dir).coefficients,
         "satisfaction_metrics": lambda spark, sf_dir: regression(spark, sf_dir).metrics,
         # texts

@@ -342,21 +342,37 @@ def _regression() -> tuple[str, str]:
     return head + " " + " union all ".join(rows), head + " " + metrics
 
 
-def _features() -> str:
+def _features(digits: int = 9) -> str:
     regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
     counts = ", ".join(f"count(*) filter (nat = '{name}') as \"{name}\"" for name in regions)
     return _reviews(
-        f"""select Hotel_Name, round(max(Average_Score), 9) as Avg_Score, max(Total_Number_of_Reviews) as Total_Reviews,
-        round(avg(Review_Total_Positive_Word_Counts), 9) as Avg_Pos_Words,
-        round(avg(Review_Total_Negative_Word_Counts), 9) as Avg_Neg_Words,
-        round(max(lat_deg), 9) as Lat, round(max(lng_deg), 9) as Lng, {counts},
-        round(cos(radians(max(lat_deg))) * cos(radians(max(lng_deg))), 9) as x,
-        round(cos(radians(max(lat_deg))) * sin(radians(max(lng_deg))), 9) as y,
-        round(sin(radians(max(lat_deg))), 9) as z
+        f"""select Hotel_Name, round(max(Average_Score), {digits}) as Avg_Score, max(Total_Number_of_Reviews) as Total_Reviews,
+        round(avg(Review_Total_Positive_Word_Counts), {digits}) as Avg_Pos_Words,
+        round(avg(Review_Total_Negative_Word_Counts), {digits}) as Avg_Neg_Words,
+        round(max(lat_deg), {digits}) as Lat, round(max(lng_deg), {digits}) as Lng, {counts},
+        round(cos(radians(max(lat_deg))) * cos(radians(max(lng_deg))), {digits}) as x,
+        round(cos(radians(max(lat_deg))) * sin(radians(max(lng_deg))), {digits}) as y,
+        round(sin(radians(max(lat_deg))), {digits}) as z
         from r group by 1 having max(lat_deg) is not null and max(lng_deg) is not null"""
     )
 
 
+def _clusters_in_all() -> dict[str, str]:
+    """Invariants of a clustering into four, whatever the clusters are."""
+    names = ["Avg_Score", "Total_Reviews", "Avg_Pos_Words", "Avg_Neg_Words", "Lat", "Lng"]
+    sums = ", ".join(_r(f"sum(cast({name} as double))", f"Sum_{name}") for name in names)
+    means = ", ".join(_r(f"avg({name})", name) for name in names)
+    entities = f"({_features(digits=15)})"
+    regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+    return {
+        "segment_kmeans_in_all": f"select count(*) as Entities, cast(4 as bigint) as Clusters, {sums} from {entities}",
+        "cluster_profile_in_all": f"select count(*) as Entities, {means} from {entities}",
+        "cluster_nationality_mix_in_all": " union all ".join(
+            f"select '{name}' as Nation, cast(sum(\"{name}\") as bigint) as Reviews from {entities}" for name in regions
+        ),
+    }
+
+
 def expected_sql() -> dict[str, str]:
     coefficients, metrics = _regression()
     shares = """
@@ -482,6 +498,7 @@ def expected_sql() -> dict[str, str]:
         ),
         # models
         "segment_features": _features(),
+        **_clusters_in_all(),
         "satisfaction_regression": coefficients,
         "satisfaction_metrics": metrics,
         # texts

@@ -86,7 +86,31 @@ def test_shortlists_do_not_sort_everything(spark, name):
     assert "rangepartitioning" not in text
 
 
-@pytest.mark.parametrize("name", ["nationality_composition", "topic_score_impact", "stay_category_delta"])
+# Reports that fold or rank the rows of an analysis.
+REPORTS = ["preference_delta_mean", "experience_gap_mean", "map_centroid", "stay_category_delta", "stay_top_per_category"]
+
+
+@pytest.mark.parametrize("name", REPORTS)
+def test_reports_do_not_sort_the_analysis(spark, name):
+    assert "rangepartitioning" not in plan(QUERIES[name](spark, SMALL))
+
+
+LOCAL = ["local_competitiveness", "local_competitiveness_halved", "local_gems", "local_underperformers"]
+
+
+@pytest.mark.parametrize("name", LOCAL)
+def test_neighbours_where_there_are_some(spark, name):
+    """The smallest tables have no entity with three neighbours."""
+    larger = "/root/testdata/sf0.01"
+    df = QUERIES[name](spark, larger)
+    assert df.count() > 0
+    assert difference(df, duck(larger), ORACLE[name]) is None
+
+
+SHARED = ["nationality_composition", "topic_score_impact", "stay_category_delta", "tag_influence", "nationality_bias"]
+
+
+@pytest.mark.parametrize("name", SHARED)
 def test_shared_work_runs_once(spark, name):
     df = QUERIES[name](spark, "/root/testdata/sf0.01")
     df.collect()
