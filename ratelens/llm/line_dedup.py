@@ -20,8 +20,10 @@ BROADCAST_KEYS = 1_000_000
 
 #: Indexed lines that a probing line is compared with under one key. Keys of
 #: more lines are refined by what the key leaves out, up to ``LEVELS`` times.
+#: Lines that still agree then are mostly near: they agree in several of the next
+#: segments too, so that more levels repeat their pairs and tell few apart.
 INDEXED = 16
-LEVELS = 6
+LEVELS = 2
 
 
 @dataclass(frozen=True)
