@@ -72,6 +72,27 @@ def whole_lines(lines: DataFrame, edits: int) -> DataFrame:
     )
 
 
+def _places(edits: int) -> Column:
+    """Constant arrays of (number, shift): the segments that may match and how far they may have moved.
+
+    One array for each role (a row as indexed is cut where it stands), number of
+    edits left and difference in length, in this order.
+    """
+    kind = "array<struct<number:int,shift:int>>"
+    out = []
+    for indexed in (False, True):
+        for left in range(edits + 1):
+            for longer in range(-edits, edits + 1):
+                fits = [
+                    F.struct(F.lit(number).alias("number"), F.lit(shift).alias("shift"))
+                    for number in range(1, left + 2)
+                    for shift in range(1 - number, number)
+                    if abs(shift - longer) <= left + 1 - number and (shift == 0 or not indexed)
+                ]
+                out.append(F.array(*fits).cast(kind))
+    return F.array(*out)
+
+
 def refined(rows: DataFrame, edits: int) -> DataFrame:
     """Match one segment of what is left; a row for each segment and each place it may have moved to.
 
@@ -81,13 +102,11 @@ def refined(rows: DataFrame, edits: int) -> DataFrame:
     before another one. One short expression serves all places, so that the JVM
     compiles it.
     """
-    places = _literals("number shift", [(n, s) for n in range(1, edits + 2) for s in range(1 - n, n)])
     c = F.col
-    moved = c("shift") - (c("length") - c("other"))
-    fits = (c("number") <= c("left") + 1) & (F.abs(moved) <= c("left") + 1 - c("number"))
-    placed = rows.select("*", F.inline(places)).filter(
-        fits & (~c("indexed") | (c("shift") == 0))
-    )
+    longer = c("length") - c("other")
+    choice = (c("indexed").cast("int") * (edits + 1) + c("left")) * (2 * edits + 1) + longer + edits
+    fitting = F.when(F.abs(longer) <= edits, F.get(_places(edits), choice))
+    placed = rows.select("*", F.inline(fitting))
     first, size = segment(c("other"), c("left") + 1, c("number"))
     placed = placed.select("*", first.alias("first"), size.alias("size"))
     at = c("first") + c("shift")
