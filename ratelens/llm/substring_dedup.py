@@ -1,18 +1,29 @@
-"""Substring deduplication by sliding spans of sentences."""
+"""Substring deduplication by sliding spans of sentences, and by words where a passage starts inside one."""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 from itertools import accumulate
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratelens.functions.checkpoints import checkpointed
 from ratelens.llm.common import id_field, map_texts, texts_of, written
 
+#: Keys that are sent to all executors (16 MB); more are shuffled.
+BROADCAST_KEYS = 1_000_000
+
+# Distinct words that a task remembers: bounds memory, not results.
+WORDS_KEPT = 500_000
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
 _SENTENCES = re.compile(r"[^.!?\n]+[.!?]*").finditer
 _WORDS = re.compile(r"\S+").finditer
 
@@ -23,12 +34,20 @@ class Spans:
 
     A sentence of over ``longest`` words counts as several, cut after every
     ``longest``; so no span is longer than words + longest - 1, and a repeated
-    passage of that many words from a sentence's start on holds one.
+    passage of that many words from a sentence's start on holds one. Of the
+    windows of ``words`` words, whatever their sentences, the words themselves
+    choose some, so that every repeated passage of ``passage`` words or more
+    holds a chosen one, wherever it starts.
     """
 
     sentences: int = 2
     words: int = 30
     longest: int = 20
+    passage: int = 50
+
+    def __post_init__(self):
+        if self.passage < self.words:
+            raise ValueError("a passage has at least the words of a span")
 
 
 def sentence_parts(text: str, longest: int) -> list[tuple[int, int, str, int]]:
@@ -65,6 +84,70 @@ def spans_of(text: str, settings: Spans) -> list[tuple[bytes, int, int]]:
     return out
 
 
+class Windows:
+    """Windows of words that every long enough passage holds, by winnowing: the least hash of each run of windows."""
+
+    def __init__(self, settings: Spans):
+        self.size = settings.words
+        self.run = settings.passage - settings.words + 1
+        self.hashes: dict[str, int] = {}
+
+    def _hash(self, word: str) -> int:
+        value = self.hashes.get(word)
+        if value is None:
+            value = self.hashes[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def chosen(self, words: list[str]) -> list[int]:
+        """Places of the chosen windows; a window equal to the last one chosen is spared where that serves too."""
+        count = len(words) - self.size + 1
+        if count < self.run:
+            return []
+        if len(self.hashes) > WORDS_KEPT:
+            self.hashes = {}
+        own = np.fromiter(map(self._hash, words), np.uint64, len(words))
+        total = np.zeros(count, np.uint64)
+        for shift in range(self.size):
+            total = (total ^ own[shift : shift + count]) * _BASE
+            total ^= total >> np.uint64(32)
+        runs = np.lib.stride_tricks.sliding_window_view(total[::-1], self.run)
+        last = (count - 1 - np.arange(len(runs)) - runs.argmin(axis=1))[::-1]  # the last least one of each run
+        ends = np.append(np.flatnonzero(np.diff(last)), len(last) - 1)  # the last run with the same one
+        out = []
+        for place, end in zip(last[ends].tolist(), ends.tolist(), strict=True):
+            if not out or out[-1] < end or total[out[-1]] != total[place]:
+                out.append(place)
+        return out
+
+    def spans_of(self, text: str) -> list[tuple[bytes, int, int]]:
+        """(digest, start, end) of the chosen windows."""
+        places = [word.span() for word in _WORDS(text)]
+        if len(places) < self.size + self.run - 1:
+            return []
+        words = [text[a:b].lower() for a, b in places]
+        return [
+            (xxhash.xxh3_128_digest(" ".join(words[at : at + self.size])), places[at][0], places[at + self.size - 1][1])
+            for at in self.chosen(words)
+        ]
+
+
+def uncovered(found: list[dict]) -> list[dict]:
+    """Without the windows that lie within the joined spans of sentences."""
+    joined: list[list[int]] = []
+    for start, end in sorted((s["start"], s["end"]) for s in found if not s["window"]):
+        if joined and start <= joined[-1][1] + 1:  # a sentence ends where the next one's white space starts
+            joined[-1][1] = max(joined[-1][1], end)
+        else:
+            joined.append([start, end])
+    starts = [start for start, _ in joined]
+
+    def covered(s) -> bool:
+        at = bisect_right(starts, s["start"]) - 1
+        return at >= 0 and s["end"] <= joined[at][1]
+
+    return [s for s in found if not (s["window"] and covered(s))]
+
+
 def repeated_spans(
     docs: DataFrame, settings: Spans = Spans(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -73,12 +156,13 @@ def repeated_spans(
     The first occurrence of a span, by doc_id and position, stays; all others
     are covered. One row for each document with any: doc_id, spans (start, end in
     code points, by start; they may overlap) and copied_from (doc_ids of the
-    first occurrences). Case and white space don't count. NULL ids, NULL and
+    first occurrences). Windows of words count where no spans of sentences cover
+    them. Case and white space don't count. NULL ids, NULL and
     empty texts have no spans; rows that repeat an id and its text are one
     document and cover nothing in one another.
 
-    Spans are digests of 16 bytes; they are counted first, with partial counts
-    in each task, and only those found twice are followed up.
+    Spans are digests of 16 bytes; short keys of them are counted first, with
+    partial counts in each task, and only those found twice are followed up.
     """
     schema = T.StructType(
         [
@@ -86,30 +170,43 @@ def repeated_spans(
             id_field(docs, id_col),
             T.StructField("start", T.IntegerType()),
             T.StructField("end", T.IntegerType()),
+            T.StructField("window", T.BooleanType()),
         ]
     )
 
     def start():
+        windows = Windows(settings)
+
         def step(ids, texts):
-            rows = [(span, i, a, b) for i, text in zip(ids, texts, strict=True) for span, a, b in spans_of(text, settings)]
-            return list(zip(*rows, strict=True)) if rows else [[]] * 4
+            rows = []
+            for i, text in zip(ids, texts, strict=True):
+                rows += [(span, i, a, b, False) for span, a, b in spans_of(text, settings)]
+                rows += [(span, i, a, b, True) for span, a, b in windows.spans_of(text)]
+            return list(zip(*rows, strict=True)) if rows else [[]] * 5
 
         return step
 
     texts = texts_of(docs, id_col, text_col).filter("doc_id is not null and text is not null")
     spans = written(map_texts(texts, start, schema, "text"))
-    twice = spans.groupBy("span").agg(F.count("*").alias("n")).filter("n > 1").select("span")
+    key = F.xxhash64("span").alias("key")
+    twice = checkpointed(spans.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select("key"))
+    if twice.count() <= BROADCAST_KEYS:
+        twice = F.broadcast(twice)
     place = F.struct("doc_id", "start")
-    occurrences = spans.join(twice, "span")
+    occurrences = spans.join(twice, key == twice["key"], "left_semi")
     first = occurrences.groupBy("span").agg(F.min(place).alias("first"))
-    return (
+    found = F.struct("start", "end", "window", F.col("first.doc_id").alias("source"))
+    of_doc = (
         occurrences.join(first, "span")
         .filter(place != F.col("first"))
         .groupBy("doc_id")
-        .agg(
-            F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"),
-            F.sort_array(F.collect_set("first.doc_id")).alias("copied_from"),
-        )
+        .agg(F.collect_set(found).alias("found"))
+    )
+    left = F.udf(uncovered, of_doc.schema["found"].dataType)
+    return of_doc.select("doc_id", left("found").alias("found")).select(
+        "doc_id",
+        F.array_sort(F.array_distinct(F.transform("found", lambda s: F.struct(s["start"], s["end"])))).alias("spans"),
+        F.array_sort(F.array_distinct(F.transform("found", lambda s: s["source"]))).alias("copied_from"),
     )
 
 

@@ -255,6 +255,29 @@ def test_substring_dedup(spark):
     assert [(s["start"], s["end"]) for s in rows[0]["spans"]] == gone
 
 
+def test_substring_dedup_catches_passages_in_mid_sentence(spark):
+    def words(kind, n):
+        return " ".join(f"{kind}{i * 7919 % 1009}" for i in range(n))
+
+    bare = words("bare", 200)
+    parted = re.sub(r"(w19|w38|w57)\b", r"\1.", " ".join(f"w{i}" for i in range(10, 61)))  # 51 words, one whole sentence of 19
+    texts = [f"{words('a', 5)} {bare} {words('b', 9)}", f"{words('c', 7)} {bare.upper()} {words('d', 4)}", "word " * 300]
+    texts += [f"{words('e', 9)} {parted} {words('f', 15)}", f"{words('g', 6)} {parted} {words('h', 12)}"]
+    rows = {r["doc_id"]: r for r in substring_dedup.repeated_spans(documents(spark, texts)).collect()}
+    assert rows[1]["copied_from"] == [0] and rows[4]["copied_from"] == [3] and rows[2]["copied_from"] == [2]
+    assert 0 not in rows and 3 not in rows
+    left = {r["doc_id"]: r["text"].split() for r in substring_dedup.drop_repeats(documents(spark, texts)).collect()}
+    assert left[0] == texts[0].split() and 0 < len(left[2]) < 60
+    assert len([w for w in left[1] if w.startswith("BARE")]) <= 2 * 20 and left[1][:7] == words("c", 7).split()
+    assert len([w for w in left[4] if w.startswith("w")]) <= 21
+    # every place and length from 50 words on
+    windows = substring_dedup.Windows(substring_dedup.Spans())
+    for n in range(20):
+        whole = {" ".join(bare.split()[at : at + 30]) for at in windows.chosen(bare.split())}
+        part = [f"x{i}" for i in range(n)] + bare.split()[n * 7 : n * 7 + 50] + ["y"] * n
+        assert whole & {" ".join(part[at : at + 30]) for at in windows.chosen(part)}
+
+
 def test_licenses(spark):
     name, text = licenses.LICENSES[4]
     texts = [f"Copyright 2020 X\n{text.upper().replace('LICENSE', 'LICENCE')}", "words\nLicenced under CC-BY-NC 4.0\nmore", "none"]
