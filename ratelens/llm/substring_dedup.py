@@ -92,12 +92,6 @@ class Windows:
         self.run = settings.passage - settings.words + 1
         self.hashes: dict[str, int] = {}
 
-    def _hash(self, word: str) -> int:
-        value = self.hashes.get(word)
-        if value is None:
-            value = self.hashes[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
     def chosen(self, words: list[str]) -> list[int]:
         """Places of the chosen windows; a window equal to the last one chosen is spared where that serves too."""
         count = len(words) - self.size + 1
@@ -105,7 +99,9 @@ class Windows:
             return []
         if len(self.hashes) > WORDS_KEPT:
             self.hashes = {}
-        own = np.fromiter(map(self._hash, words), np.uint64, len(words))
+        for word in set(words) - self.hashes.keys():
+            self.hashes[word] = xxhash.xxh3_64_intdigest(word)
+        own = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
         total = np.zeros(count, np.uint64)
         for shift in range(self.size):
             total = (total ^ own[shift : shift + count]) * _BASE
@@ -121,18 +117,23 @@ class Windows:
 
     def spans_of(self, text: str) -> list[tuple[bytes, int, int]]:
         """(digest, start, end) of the chosen windows."""
-        places = [word.span() for word in _WORDS(text)]
-        if len(places) < self.size + self.run - 1:
+        words = text.split()
+        if len(words) < self.size + self.run - 1:
             return []
-        words = [text[a:b].lower() for a, b in places]
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        if ends[-1] == len(text):  # one character between words, none around them
+            places = list(zip([0, *(ends[:-1] + 1).tolist()], ends.tolist(), strict=True))
+        else:
+            places = [word.span() for word in _WORDS(text)]
+        words = [word.lower() for word in words]
         return [
             (xxhash.xxh3_128_digest(" ".join(words[at : at + self.size])), places[at][0], places[at + self.size - 1][1])
             for at in self.chosen(words)
         ]
 
 
-def uncovered(found: list[dict]) -> list[dict]:
-    """Without the windows that lie within the joined spans of sentences."""
+def uncovered(found: list[dict]) -> tuple[list, list]:
+    """Spans and their sources, without the windows that lie within the joined spans of sentences."""
     joined: list[list[int]] = []
     for start, end in sorted((s["start"], s["end"]) for s in found if not s["window"]):
         if joined and start <= joined[-1][1] + 1:  # a sentence ends where the next one's white space starts
@@ -145,7 +146,8 @@ def uncovered(found: list[dict]) -> list[dict]:
         at = bisect_right(starts, s["start"]) - 1
         return at >= 0 and s["end"] <= joined[at][1]
 
-    return [s for s in found if not (s["window"] and covered(s))]
+    left = [s for s in found if not (s["window"] and covered(s))]
+    return sorted({(s["start"], s["end"]) for s in left}), sorted({s["source"] for s in left})
 
 
 def repeated_spans(
@@ -202,12 +204,15 @@ def repeated_spans(
         .groupBy("doc_id")
         .agg(F.collect_set(found).alias("found"))
     )
-    left = F.udf(uncovered, of_doc.schema["found"].dataType)
-    return of_doc.select("doc_id", left("found").alias("found")).select(
-        "doc_id",
-        F.array_sort(F.array_distinct(F.transform("found", lambda s: F.struct(s["start"], s["end"])))).alias("spans"),
-        F.array_sort(F.array_distinct(F.transform("found", lambda s: s["source"]))).alias("copied_from"),
+    span_type = T.StructType([T.StructField(name, T.IntegerType()) for name in ("start", "end")])
+    schema = T.StructType(
+        [
+            T.StructField("spans", T.ArrayType(span_type)),
+            T.StructField("copied_from", T.ArrayType(docs.schema[id_col].dataType)),
+        ]
     )
+    left = F.udf(uncovered, schema)
+    return of_doc.select("doc_id", left("found").alias("left")).select("doc_id", "left.spans", "left.copied_from")
 
 
 def without_spans(text: str | None, spans: list[dict] | None) -> str | None:
