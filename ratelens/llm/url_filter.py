@@ -32,8 +32,12 @@ class Tree:
     urls. Paths have ``depth`` segments, the last holding all that follows.
     Branches that differ in one segment are merged if each has ``labels``
     labelled urls or more and none's blocked share is ``z`` standard errors or
-    more from that of all. A template is rejected if its blocked share, smoothed
-    by ``smoothing`` urls of the overall share, is ``purity`` or more.
+    more from that of all. A branch with fewer joins such ones, or a single one,
+    if its pages and its paths are as many as theirs on average, within ``z``
+    standard errors of a count, and its own few labels agree with theirs. A
+    template is rejected if it has ``labels`` labelled urls or more and its
+    blocked share, smoothed by ``smoothing`` urls of the overall share, is
+    ``purity`` or more.
     """
 
     depth: int = 4
@@ -97,19 +101,28 @@ def _merged(templates: DataFrame, level: int, tree: Tree) -> DataFrame:
     here = f"m{level}"
     names = [f"m{n}" for n in range(tree.depth)]
     rest = ["host", *(name for name in names if name != here)]
-    branch = templates.groupBy("host", *names).agg(
-        F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")
+    sums = (F.sum(name).alias(name) for name in ("labelled", "blocked", "pages", "paths"))
+    branch = templates.groupBy("host", *names).agg(*sums).filter(F.col(here).isNotNull())
+    sure = branch.filter(F.col("labelled") >= tree.labels)
+    pooled = sure.groupBy(rest).agg(
+        (F.sum("blocked") / F.sum("labelled")).alias("p"),
+        F.avg("pages").alias("mean_pages"),
+        F.avg("paths").alias("mean_paths"),
     )
-    sure = branch.filter((F.col("labelled") >= tree.labels) & F.col(here).isNotNull())
-    pooled = sure.groupBy(rest).agg((F.sum("blocked") / F.sum("labelled")).alias("p"))
     error = F.sqrt(F.col("p") * (1 - F.col("p")) / F.col("labelled"))
     excess = F.abs(F.col("blocked") / F.col("labelled") - F.col("p")) - tree.z * error
+    agreed = _matched(sure, pooled, rest).groupBy(rest).agg(F.max(excess).alias("excess")).filter("excess <= 0")
+    counts = reduce(
+        Column.__and__,
+        (F.abs(F.col(x) - F.col(f"mean_{x}")) <= tree.z * F.sqrt(f"mean_{x}") for x in ("pages", "paths")),
+    )
+    own = F.when(F.col("labelled") > 0, excess <= 0).otherwise(True)
     like = (
-        _matched(sure, pooled, rest)
+        _matched(_matched(branch, pooled, rest), agreed, rest)
+        .filter((F.col("labelled") >= tree.labels) | (counts & own))
         .groupBy(rest)
-        .agg(F.max(excess).alias("excess"), F.collect_set(here).alias("alike"))  # few: rare ones are wildcards by now
-        .filter((F.size("alike") > 1) & (F.col("excess") <= 0))
-        .select(*rest, "alike")
+        .agg(F.collect_set(here).alias("alike"))  # few: rare ones are wildcards by now
+        .filter(F.size("alike") > 1)
     )
     segment = F.when(F.array_contains("alike", F.col(here)), F.lit("*")).otherwise(F.col(here))
     return _matched(templates, like, rest, "left").withColumn(here, segment).drop("alike")
@@ -151,7 +164,10 @@ def judge_urls(
         paths = checkpointed(_generalised(paths, level, tree))
     segment_names = [f"s{n}" for n in levels]
     templates = paths.groupBy("host", *segment_names).agg(
-        F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")
+        F.sum("labelled").alias("labelled"),
+        F.sum("blocked").alias("blocked"),
+        F.sum("n").alias("pages"),
+        F.count("*").alias("paths"),
     )
     templates = checkpointed(templates.select("*", *(F.col(f"s{n}").alias(f"m{n}") for n in levels)))
     for level in reversed(levels):
@@ -161,10 +177,11 @@ def judge_urls(
     overall = templates.agg(F.coalesce(F.try_divide(F.sum("blocked"), F.sum("labelled")), F.lit(0.0)).alias("share")).first()["share"]
     purity = (F.col("all_blocked") + tree.smoothing * overall) / (F.col("all_labelled") + tree.smoothing)
     template = F.concat(F.lit("/"), F.concat_ws("/", *merged[1:]))
+    rejected = (F.col("all_labelled") >= tree.labels) & (purity >= tree.purity)
     judged = _matched(templates, sums, merged).select(
-        "host", *segment_names, template.alias("template"), purity.alias("purity")
+        "host", *segment_names, template.alias("template"), purity.alias("purity"), rejected.alias("rejected")
     )
-    of_path = _matched(paths, judged, ["host", *segment_names]).select("host", "path", "template", "purity")
+    of_path = _matched(paths, judged, ["host", *segment_names]).select("host", "path", "template", "purity", "rejected")
     judged_pages = _matched(decided, of_path, ["host", "path"])
     return judged_pages.select(
         "page_id",
@@ -172,7 +189,7 @@ def judge_urls(
         "path",
         F.col("decided.rule").alias("rule"),
         F.coalesce(
-            F.col("decided.verdict"), F.when(F.col("purity") >= tree.purity, F.lit("block")).otherwise(F.lit("allow"))
+            F.col("decided.verdict"), F.when(F.col("rejected"), F.lit("block")).otherwise(F.lit("allow"))
         ).alias("verdict"),
         "template",
         "purity",

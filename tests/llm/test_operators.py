@@ -310,6 +310,18 @@ def test_url_tree_generalises_and_rejects(spark):
     assert rows[100]["template"] == "/good/a<n>" and rows[100]["verdict"] == "allow"
 
 
+def test_url_tree_decides_on_evidence_only(spark):
+    rules = [queries.Rule("hot.org/a/", "block"), queries.Rule("mix.org/fr/", "block")]
+    urls = [f"http://hot.org/a/{n}" for n in range(300)]  # the overall blocked share is 1
+    urls += [f"http://clean.org/x/{n}" for n in range(30)]
+    urls += [f"http://mix.org/{lang}/page{n}" for lang, pages in (("fr", 40), ("en", 38), ("big", 400)) for n in range(pages)]
+    rows = judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    got = {(r["host"], r["path"].split("/")[1]): (r["template"], r["verdict"]) for r in rows}
+    assert got["clean.org", "x"] == ("/x/<n>", "allow")
+    assert got["mix.org", "fr"] == got["mix.org", "en"] == ("/*/page<n>", "block")
+    assert got["mix.org", "big"] == ("/big/page<n>", "allow")
+
+
 MESSY = [(1, "Some text here. " * 30, "en"), (1, "Some text here. " * 30, "en"), (2, None, None), (None, "x " * 60, "fr"), (3, "", "en"), (4, "word " * 200_000, "de"), (None, None, None)]
 
 
