@@ -45,8 +45,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 class Templates:
     """Windows of ``window`` canonical tokens with at least ``literals`` of them not placeholders (as a share).
 
-    A document has an item if consistent windows cover ``coverage`` of the
-    item's windows.
+    A document has an item if matching windows cover ``coverage`` of those of the
+    item that have so many literals, or its very words ``coverage`` of all.
     """
 
     window: int = 8
@@ -64,6 +64,7 @@ class Canonical:
         self.known: dict[str, int] = {}
         self.forms: list[tuple[str, str]] = []  # in a sentence, and at its start
         self.hashes = np.empty((0, 2), np.uint64)
+        self.plain = np.empty(0, np.uint64)  # of the words themselves, in lower case
         self.slots = np.empty((0, 2), bool)
         self.marks = np.empty(0, bool)
 
@@ -83,6 +84,8 @@ class Canonical:
         hashed = [[xxhash.xxh64_intdigest(form) for form in pair] for pair in forms]
         slots = [[form.startswith("<") for form in pair] for pair in forms]
         self.hashes = np.concatenate([self.hashes, np.array(hashed, np.uint64).reshape(-1, 2)])
+        plain = [xxhash.xxh64_intdigest(token.lower(), 1) for token in new]
+        self.plain = np.concatenate([self.plain, np.array(plain, np.uint64)])
         self.slots = np.concatenate([self.slots, np.array(slots, bool).reshape(-1, 2)])
         self.marks = np.concatenate([self.marks, np.array([token in ".!?\n" for token in new], bool)])
 
@@ -120,23 +123,33 @@ def window_hashes(hashes: np.ndarray, slots: np.ndarray, size: int, literals: fl
     for shift in range(size):
         total = (total * _BASE) ^ hashes[shift : shift + count]
         total ^= total >> np.uint64(32)
-    placeholders = np.append(0, np.cumsum(slots))
-    enough = placeholders[size:] - placeholders[:-size] <= (1 - literals) * size
-    at = np.flatnonzero(enough)
+    at = np.flatnonzero(enough_literals(slots, size, literals))
     return at, total[at]
 
 
+def enough_literals(slots: np.ndarray, size: int, literals: float) -> np.ndarray:
+    """Of each window whether it has enough literal tokens."""
+    placeholders = np.append(0, np.cumsum(slots))
+    return placeholders[size:] - placeholders[:-size] <= (1 - literals) * size
+
+
 WINDOW = [
     T.StructField("hash", T.LongType()),
     T.StructField("template", T.StringType()),
     T.StructField("at", T.IntegerType()),
     T.StructField("slots", T.ArrayType(T.StringType())),
+    T.StructField("plain", T.BooleanType()),  # of the words themselves
+    T.StructField("literal", T.BooleanType()),  # has literal tokens enough
 ]
 
 
+# Of a text: windows with literal tokens enough, and all windows.
+COUNTS = ["windows", "all_windows"]
+
+
 def _windows(texts: DataFrame, sizes_of, settings: Templates, keep=None) -> DataFrame:
-    """Template windows of texts; ``sizes_of`` gives their lengths by the number of tokens, ``keep`` the filter's bytes."""
-    schema = T.StructType([texts.schema["doc_id"], T.StructField("windows", T.IntegerType()), *WINDOW])
+    """Windows of texts, as templates and as their words; ``sizes_of`` gives their lengths by the number of tokens, ``keep`` the filter's bytes."""
+    schema = T.StructType([texts.schema["doc_id"], *(T.StructField(name, T.IntegerType()) for name in COUNTS), *WINDOW])
 
     def start():
         canonical = Canonical()
@@ -144,21 +157,33 @@ def _windows(texts: DataFrame, sizes_of, settings: Templates, keep=None) -> Data
 
         def step(ids, texts):
             out = [[] for _ in schema]
-            for doc_id, (surface, numbers) in zip(ids, canonical.learn([text or "" for text in texts]), strict=True):
+            for doc_id, (surface_of, numbers) in zip(ids, canonical.learn([text or "" for text in texts]), strict=True):
                 hashes, slots, names, places, starts = canonical.tokens(numbers)
                 for size in sizes_of(len(hashes)):
-                    at, found = window_hashes(hashes, slots, size, settings.literals)
-                    total = len(at)
-                    if bits is not None:
-                        bit = found >> np.uint64(64 - FILTER_BITS)
-                        passed = (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                        at, found = at[passed], found[passed]
-                    for place, value in zip(at.tolist(), found.view(np.int64).tolist(), strict=True):
-                        own = slice(place, place + size)
-                        values = [surface[p].lower() for p in places[own][slots[own]].tolist()]
-                        template = canonical.template(names[own], starts[own])
-                        for column, x in zip(out, (doc_id, total, value, template, place, values), strict=True):
-                            column.append(x)
+                    if size > len(hashes):
+                        continue
+                    literal = enough_literals(slots, size, settings.literals)
+                    words = canonical.plain[names]
+                    template = window_hashes(hashes, slots, size, settings.literals)
+                    # shorter ones without literals can't be told from other text
+                    surface = window_hashes(words, slots, size, 0 if size == settings.window else settings.literals)
+                    counts = len(template[0]), len(surface[0])
+                    for plain, (at, found) in ((False, template), (True, surface)):
+                        if bits is not None:
+                            bit = found >> np.uint64(64 - FILTER_BITS)
+                            passed = (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                            at, found = at[passed], found[passed]
+                        for place, value in zip(at.tolist(), found.view(np.int64).tolist(), strict=True):
+                            own = slice(place, place + size)
+                            if plain:
+                                values = []
+                                form = "=" + " ".join(surface_of[p].lower() for p in places[own].tolist())
+                            else:
+                                values = [surface_of[p].lower() for p in places[own][slots[own]].tolist()]
+                                form = canonical.template(names[own], starts[own])
+                            row = (doc_id, *counts, value, form, place, values, plain, bool(literal[place]))
+                            for column, x in zip(out, row, strict=True):
+                                column.append(x)
             return out
 
         return step
@@ -178,14 +203,18 @@ def leaks(
     """Items of the benchmark that documents hold, word by word or with other slots.
 
     Numbers, units and names (capitalised inside a sentence) become typed
-    placeholders. Windows of canonical tokens are joined by hash and template.
-    An occurrence is one offset of an item in a document; it counts if every
-    slot value of the item stands for one value there, wherever it recurs.
+    placeholders. Windows of canonical tokens are joined by hash and template,
+    and those of the words themselves, whatever their case, likewise.
+    An occurrence is one offset of an item in a document. Windows with the
+    item's own words or slots count; others do if every changed slot value of
+    the item stands for one value there, wherever it changes.
     One row for each document and item it holds: doc_id, item_id, n_windows
-    (of the item, found in the document), coverage (their share) and
+    (of the item, found in the document), coverage (their share of the windows
+    with literal words enough, or that of the windows found word by word of all,
+    whichever is greater) and
     reparameterised (some slot has another value). Items shorter than a window
-    are one window of their own length; items without literal words enough in
-    any window can't be told from other text and are never found. NULL ids,
+    are one window of their own length; such ones without literal words enough
+    can't be told from other text and are never found. NULL ids,
     NULL and empty texts take no part; repeated rows count as one document.
 
     Documents are read once, where they lie: only windows that pass a filter
@@ -196,6 +225,7 @@ def leaks(
     item_windows = (
         _windows(items, lambda n: [min(n, size)] if n else [], settings)
         .withColumnsRenamed({"doc_id": "item_id", "at": "item_at", "slots": "item_slots", "windows": "item_windows"})
+        .withColumnRenamed("literal", "item_literal")
         .withColumn("length", F.size(F.split("template", " ")))
     )
     spark = docs.sparkSession
@@ -215,28 +245,39 @@ def leaks(
         bitmap[row["byte"]] = row["bits"]
     keep = spark.sparkContext.broadcast(bitmap.tobytes())
     texts = texts_of(docs, id_col, text_col).filter("doc_id is not null and text is not null")
-    found = _windows(texts, lambda n: lengths, settings, keep).select("doc_id", *(f.name for f in WINDOW))
+    found = _windows(texts, lambda n: lengths, settings, keep).select("doc_id", "hash", "template", "at", "slots")
     matches = found.join(item_windows, ["hash", "template"]).withColumn("offset", F.col("at") - F.col("item_at"))
     matches = written(matches)
     occurrence = ["doc_id", "item_id", "offset"]
-    slots = (
-        matches.select(*occurrence, F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("pair"))
+    changed = F.col("item_slots") != F.col("slots")
+    inconsistent = (
+        matches.filter(changed)
+        .select(*occurrence, F.explode(F.arrays_zip("item_slots", "slots")).alias("pair"))
         .select(*occurrence, "pair.item_slots", "pair.slots")
+        .filter(changed)
         .distinct()
         .groupBy(*occurrence)
-        .agg(
-            (F.count("item_slots") == F.count_distinct("item_slots")).alias("consistent"),
-            F.coalesce(F.max(F.col("item_slots") != F.col("slots")), F.lit(False)).alias("changed"),
-        )
-        .filter("consistent")
+        .agg((F.count("item_slots") > F.count_distinct("item_slots")).alias("inconsistent"))
+        .filter("inconsistent")
     )
-    return (
-        matches.select(*occurrence, "item_at", "item_windows")
+    windows = (
+        matches.select(*occurrence, "item_at", "item_windows", "all_windows", "item_literal", "plain", changed.alias("changed"))
         .distinct()
-        .join(slots, occurrence)
-        .groupBy("doc_id", "item_id", "item_windows")
-        .agg(F.count_distinct("item_at").alias("n_windows"), F.max("changed").alias("reparameterised"))
-        .withColumn("coverage", F.col("n_windows") / F.col("item_windows"))
+        .join(inconsistent, occurrence, "left")
+        .filter("not (changed and coalesce(inconsistent, false))")
+    )
+    share = F.greatest(
+        F.coalesce(F.try_divide("n_literal", "item_windows"), F.lit(0.0)), F.col("n_plain") / F.col("all_windows")
+    )
+    return (
+        windows.groupBy("doc_id", "item_id", "item_windows", "all_windows")
+        .agg(
+            F.count_distinct("item_at").alias("n_windows"),
+            F.count_distinct(F.when(F.col("item_literal"), F.col("item_at"))).alias("n_literal"),
+            F.count_distinct(F.when(F.col("plain"), F.col("item_at"))).alias("n_plain"),
+            F.max("changed").alias("reparameterised"),
+        )
+        .withColumn("coverage", share.cast("double"))
         .filter(F.col("coverage") >= settings.coverage)
         .select("doc_id", "item_id", "n_windows", "coverage", "reparameterised")
     )

@@ -235,6 +235,26 @@ def test_decontamination(spark):
     assert {r["doc_id"] for r in decontamination.drop_contaminated(documents(spark, texts), bench).collect()} == {2, 3, 4, 5}
 
 
+def test_decontamination_whatever_the_case(spark):
+    short = "Which river flows through the old town"  # one window, shorter than eight
+    german = "Der Zug nach Hamburg braucht am Abend vier Stunden und hält im Bahnhof von Hannover und Bremen an"
+    texts = [f"So. {ITEM.upper()}", f"So {german.lower()} und", f"Q: {short}", "No such text here at all."]
+    bench = spark.createDataFrame([(7, ITEM), (8, german), (9, short)], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(documents(spark, texts), bench).collect()}
+    assert found == {(0, 7), (1, 8), (2, 9)}
+
+
+def test_decontamination_with_a_typo_or_many_slots(spark):
+    long = ITEM + " The driver of the train says that it never stops before it comes to the coast from Berlin in the morning."
+    heavy = "In 12 34 56 Paris Rome 78 Oslo 90 Bern 21 43 65 Lima Cairo 87 Kiev"
+    typo = long.replace("from Berlin travel", "from Berlni travel")
+    texts = [f"So. {typo}", long.replace("Berlin", "Madrid", 1).replace("Berlin", "Lisbon"), f"So. {heavy}", "In 12 34 56 Paris"]
+    bench = spark.createDataFrame([(7, long), (8, heavy)], "item_id long, text string")
+    rows = {(r["doc_id"], r["item_id"]): r for r in decontamination.leaks(documents(spark, texts), bench).collect()}
+    assert {(0, 7), (2, 8)} <= rows.keys() and not rows.keys() & {(3, 7), (3, 8)}
+    assert rows[0, 7]["coverage"] > 0.7 and rows[2, 8]["coverage"] == 1 and not rows[2, 8]["reparameterised"]
+
+
 def test_substring_dedup(spark):
     passage = " ".join(f"This is sentence number {n} of a passage which repeats." for n in range(8))
     texts = [f"First alone. {passage} Ends here.", f"Quite other words come first.\n{passage.upper()}\nAnd others last.", "Nothing here. Is repeated."]
