@@ -28,10 +28,14 @@ LEVELS = 2
 
 @dataclass(frozen=True)
 class Lines:
-    """Lines of ``min_chars`` or more take part; near ones differ by ``edits`` insertions, deletions and replacements."""
+    """Lines of ``min_chars`` or more take part; near ones differ by ``edits`` insertions, deletions and replacements.
+
+    With ``short``, shorter lines that aren't blank take part as exact copies.
+    """
 
     edits: int = 2
     min_chars: int = 20
+    short: bool = False
 
 
 def segment(length: Column, count: Column, number: Column) -> tuple[Column, Column]:
@@ -175,7 +179,8 @@ def lines_of(docs: DataFrame, settings: Lines, id_col: str, text_col: str) -> Da
     """(doc_id, at, line) of the lines that take part; ``at`` counts all lines of a text from 0."""
     texts = texts_of(docs, id_col, text_col).filter("doc_id is not null and text is not null")
     every = texts.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
-    return every.filter(F.char_length("line") >= settings.min_chars)
+    long = F.char_length("line") >= settings.min_chars
+    return every.filter(long | F.col("line").rlike(r"\S") if settings.short else long)
 
 
 def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
@@ -240,7 +245,7 @@ def repeated_lines(
     lines with near ones), n_links (distinct lines that these are near to) and
     repeated (places of lines to remove, from 0, sorted). A line goes if it is
     not the first of its copies, or if a near line stands before the first of
-    them. Shorter lines, NULL texts and NULL ids take no part. Rows that repeat
+    them. Shorter lines take part as ``settings`` say; NULL texts and NULL ids don't. Rows that repeat
     an id and its text are one document.
 
     Distinct lines are made by partial aggregates, so a line that is in a third
@@ -249,7 +254,8 @@ def repeated_lines(
     """
     lines = lines_of(docs, settings, id_col, text_col)
     key_a, key_b = text_key(F.col("line_a")).alias("key_a"), text_key(F.col("line_b")).alias("key_b")
-    pairs = checkpointed(near_pairs(lines, settings).select(key_a, key_b))
+    long = lines.filter(F.char_length("line") >= settings.min_chars)
+    pairs = checkpointed(near_pairs(long, settings).select(key_a, key_b))
     placed = written(lines.select("doc_id", "at", text_key(F.col("line")).alias("line_key")))
     place = F.struct("doc_id", "at")
     firsts = placed.groupBy("line_key").agg(F.count("*").alias("n"), F.min(place).alias("first"))

@@ -10,7 +10,7 @@ from ratelens.llm.bpe import bpe_encode
 from ratelens.llm.common import table
 from ratelens.llm.decontamination import leaks
 from ratelens.llm.licenses import LICENSES, SPELLINGS, find_licenses, text_digests
-from ratelens.llm.line_dedup import repeated_lines
+from ratelens.llm.line_dedup import Lines, repeated_lines
 from ratelens.llm.quality import clean_lines
 from ratelens.llm.secret_scan import BASE_RULES, scan_history
 from ratelens.llm.simhash import simhash_components
@@ -69,7 +69,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeated_lines(table(spark, sf_dir, "documents"))
+    found = repeated_lines(table(spark, sf_dir, "documents"), Lines(short=True))
     return found.withColumns({"n_repeated": F.size("repeated"), "repeated": F.array_join("repeated", ",")})
 
 

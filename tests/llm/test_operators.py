@@ -154,6 +154,14 @@ def test_line_dedup_equals_brute_force(spark):
         assert kept[i] == "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone.get(i, []))
 
 
+def test_short_lines_go_as_exact_copies(spark):
+    import corpus_pipeline
+
+    texts = ["Home\nAbout\n\n \t\none line that is long enough", "Home\nabout\n\n \t\none line that is long enougk", "Home\nHome"]
+    kept = corpus_pipeline.line_dedup(spark, documents(spark, texts), SMALL).collect()
+    assert {r["doc_id"]: r["text"] for r in kept} == {0: texts[0], 1: "about\n\n \t", 2: ""}
+
+
 @pytest.mark.parametrize("k", [0, 1, 2, 3])
 def test_within_edits(spark, k):
     pairs = [("kitten", "sitting"), ("abc", "abc"), ("abcdef", "bcdefg"), ("", "ab"), ("abc", ""), ("aéx", "aex"), ("𝒳ab", "ab")]
