@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), np.int64)
     start = taken = 0
     for i, size in enumerate(sizes):
@@ -49,7 +49,7 @@ def map_texts(df: DataFrame, start: Callable[[], Step], schema: T.StructType, te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            for part in _slices(batch, at):
+            for part in slices(batch, at):
                 made = step(*(column.to_pylist() for column in part.columns))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(values, field.type) for values, field in zip(made, arrow, strict=True)], schema=arrow

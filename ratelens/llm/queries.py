@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ratelens.llm.bpe import bpe_encode
 from ratelens.llm.common import table
 from ratelens.llm.decontamination import leaks
+from ratelens.llm.divergence import source_divergence
 from ratelens.llm.licenses import LICENSES, SPELLINGS, find_licenses, text_digests
 from ratelens.llm.line_dedup import Lines, repeated_lines
 from ratelens.llm.quality import clean_lines
@@ -86,6 +87,10 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {
         "op1_secret_scan": secret_scan,
@@ -98,6 +103,7 @@ def queries():
         "op8_byte_bpe": byte_bpe,
         "op9_license_scan": license_scan,
         "op10_simhash": simhash_near_dedup,
+        "op11_source_divergence": divergence_audit,
     }
 
 
@@ -129,5 +135,47 @@ FROM units JOIN known USING (digest) GROUP BY doc_id
 """
 
 
+DIVERGENCE_SQL = """
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+words AS (
+    SELECT d, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM docs
+),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+of_lang AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+of_group AS (SELECT lang, source, sum(n) AS n FROM counts GROUP BY lang, source),
+scored AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(o.n, 0) + 5 * l.v) AS p,
+        1 + (1000000000::HUGEINT * (k.n + 5)) // (l.n + 5 * l.v) AS q
+    FROM grp g JOIN kept k USING (lang) JOIN of_lang l USING (lang)
+    LEFT JOIN of_group o ON o.lang = g.lang AND o.source = g.source
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM scored a JOIN scored b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+    FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+),
+parts AS (
+    SELECT * FROM pairs UNION ALL
+    SELECT lang, source, 'term', term, p - q FROM scored WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT lang, source, part, item, value::BIGINT AS value,
+        row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+    FROM parts
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_license_scan": _license_sql()}
+    return {"op9_license_scan": _license_sql(), "op11_source_divergence": DIVERGENCE_SQL}
