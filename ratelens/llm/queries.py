@@ -12,6 +12,7 @@ from ratelens.llm.decontamination import leaks
 from ratelens.llm.divergence import source_divergence
 from ratelens.llm.licenses import LICENSES, SPELLINGS, find_licenses, text_digests
 from ratelens.llm.line_dedup import Lines, repeated_lines
+from ratelens.llm.neighbours import nearest_neighbours
 from ratelens.llm.quality import clean_lines
 from ratelens.llm.secret_scan import BASE_RULES, scan_history
 from ratelens.llm.simhash import simhash_components
@@ -91,6 +92,10 @@ def divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def queries():
     return {
         "op1_secret_scan": secret_scan,
@@ -104,6 +109,7 @@ def queries():
         "op9_license_scan": license_scan,
         "op10_simhash": simhash_near_dedup,
         "op11_source_divergence": divergence_audit,
+        "op12_nearest_neighbours": neighbours,
     }
 
 
