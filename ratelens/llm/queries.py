@@ -13,6 +13,7 @@ from ratelens.llm.divergence import source_divergence
 from ratelens.llm.licenses import LICENSES, SPELLINGS, find_licenses, text_digests
 from ratelens.llm.line_dedup import Lines, repeated_lines
 from ratelens.llm.neighbours import nearest_neighbours
+from ratelens.llm.prefix_trie import prefix_trie
 from ratelens.llm.quality import clean_lines
 from ratelens.llm.secret_scan import BASE_RULES, scan_history
 from ratelens.llm.simhash import simhash_components
@@ -96,6 +97,10 @@ def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries():
     return {
         "op1_secret_scan": secret_scan,
@@ -110,6 +115,7 @@ def queries():
         "op10_simhash": simhash_near_dedup,
         "op11_source_divergence": divergence_audit,
         "op12_nearest_neighbours": neighbours,
+        "op13_prefix_trie": conversation_trie,
     }
 
 
@@ -182,6 +188,48 @@ ranked AS (
 SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
 """
 
+TRIE_SQL = """
+WITH crc AS (
+    SELECT conv_id, xor(list_reduce(
+        list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+        lambda crc, byte: list_reduce(range(8), lambda a, i: xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384 ELSE 0 END), xor(crc, byte)),
+        4294967295), 4294967295) % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+),
+own AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+        ORDER BY turn NULLS FIRST, md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS turns
+    FROM conversations GROUP BY conv_id
+),
+rebuilt AS (
+    SELECT o.conv_id, list_concat(list_slice(b.turns, 1, h), list_slice(o.turns, h + 1, len(o.turns))) AS turns
+    FROM own o JOIN crc USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5
+),
+members AS (
+    SELECT conv_id, d, list_slice(turns, 1, d) AS path, len(turns) = d AS ends
+    FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+),
+nodes AS (
+    SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+        (count(*) - 1) * coalesce(strlen(path[d].t), 0) AS saved,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM members GROUP BY d, path
+),
+children AS (
+    SELECT p.d, p.path, count(*) AS n_children FROM nodes p JOIN nodes c ON c.d = p.d + 1 AND list_slice(c.path, 1, p.d) = p.path GROUP BY ALL
+),
+subtrees AS (
+    SELECT a.d, a.path, count(*) FILTER (WHERE k.path IS NULL) AS n_leaves, sum(b.saved)::BIGINT AS saved_tokens
+    FROM nodes a JOIN nodes b ON b.d >= a.d AND list_slice(b.path, 1, a.d) = a.path
+    LEFT JOIN children k ON k.d = b.d AND k.path = b.path GROUP BY ALL
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+    s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN subtrees s ON s.d = n.d AND s.path = n.path
+LEFT JOIN children k ON k.d = n.d AND k.path = n.path
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.path = list_slice(n.path, 1, n.d - 1)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_license_scan": _license_sql(), "op11_source_divergence": DIVERGENCE_SQL}
+    return {"op9_license_scan": _license_sql(), "op11_source_divergence": DIVERGENCE_SQL, "op13_prefix_trie": TRIE_SQL}
