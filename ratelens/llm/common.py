@@ -63,6 +63,14 @@ def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def free_name(name: str, docs: DataFrame) -> str:
+    """A name that no column of ``docs`` has, in any case."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def id_field(docs: DataFrame, id_col: str) -> T.StructField:
     return T.StructField("doc_id", docs.schema[id_col].dataType)
 

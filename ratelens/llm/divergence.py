@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import string
+import struct
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,19 +20,27 @@ from pyspark.sql import types as T
 from ratelens.llm.common import slices, written
 
 # Terms: ASCII letters and everything that isn't ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+").findall
 
 # A block of documents has so many characters or documents at most (a longer
 # text is a block alone). It bounds what a task remembers: postings of a block
-# name its documents with two bytes.
+# name its documents with two bytes. The blocks of so many tasks are united at once.
 BLOCK_CHARS = 64_000_000
 BLOCK_DOCS = 60_000
+TASKS = 64
+
+# Postings of a chunk in a block: the task among those united at once, numbers
+# of documents and of sources, then the documents and, of each source, six bytes
+# of its hash and its occurrences (in several parts, if they are many).
+HEAD = struct.Struct("<BHH")
+MOST = 65_535
+SOURCE_BITS = 48
 
 # Cells of the tables of p that are compared at once, and groups in a block of them.
 CELLS = 4_000_000
 GROUPS = 512
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
 def filled(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
@@ -59,48 +71,80 @@ class Block:
         doc, local = np.divmod(pairs, max(len(own), 1))
         code = np.array([self.names.setdefault(name, len(self.names)) for name in own.to_pylist()], np.int32)
         self.parts.append((code[local] if len(code) else local.astype(np.int32), (doc + self.docs).astype(np.uint16), n))
-        self.sources += [xxhash.xxh64_intdigest(source, 42) for source in sources]  # as Spark's
+        self.sources += [xxhash.xxh64_intdigest(source, 42) % 2**SOURCE_BITS for source in sources]  # as Spark's
         self.docs += len(sizes)
         self.chars += pc.sum(pc.binary_length(texts)).as_py() or 0
 
-    def rows(self) -> tuple[pa.Array, pa.Array, pa.Array]:
-        """chunk, docs (two bytes for each document), counts (of each source twelve bytes: hash and occurrences)."""
+    def rows(self, task: int) -> tuple[pa.Array, pa.Array]:
+        """chunk and postings."""
         code, doc, n = (np.concatenate(part) for part in zip(*self.parts, strict=True))
         order = np.argsort(code, kind="stable")  # documents of a chunk stay in order
-        code, doc, n = code[order], doc[order], n[order]
-        docs = _binaries(doc.astype("<u2").tobytes(), np.searchsorted(code, np.arange(len(self.names) + 1)) * 2)
+        code, doc, n = code[order], doc[order].astype(np.uint64), n[order]
         known, source = np.unique(np.array(self.sources, np.uint64), return_inverse=True)
-        pairs, place = np.unique(code.astype(np.int64) * len(known) + source[doc], return_inverse=True)
-        counts = np.empty(len(pairs), [("source", "<u8"), ("n", "<u4")])
-        code, at = np.divmod(pairs, len(known))
-        counts["source"], counts["n"] = known[at], np.bincount(place, n, len(pairs))
-        of_source = _binaries(counts.tobytes(), np.searchsorted(code, np.arange(len(self.names) + 1)) * 12)
-        return pa.array(list(self.names), pa.string()), docs, of_source
-
-
-def _binaries(data: bytes, ends: np.ndarray) -> pa.Array:
-    return pa.BinaryArray.from_buffers(
-        pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data)]
-    )
+        pairs, place = np.unique(code.astype(np.int64) * len(known) + source[doc.astype(np.int64)], return_inverse=True)
+        times = np.bincount(place, n, len(pairs)).astype(np.int64)
+        of, at = np.divmod(pairs, len(known))
+        again = np.repeat(np.arange(len(pairs)), (times - 1) // MOST + 1)
+        last = np.append(np.diff(again) > 0, True)[: len(again)]
+        part = np.where(last, (times[again] - 1) % MOST + 1, MOST).astype(np.uint64)
+        of, counted = of[again], known[at[again]] | part << np.uint64(SOURCE_BITS)
+
+        ids = np.arange(len(self.names) + 1)
+        of_doc, of_source = np.searchsorted(code, ids), np.searchsorted(of, ids)
+        ends = HEAD.size * ids + 2 * of_doc + 8 * of_source
+        data = np.empty(ends[-1], np.uint8)
+        _fill(data, ends[:-1], np.full(len(self.names), task % TASKS), 1)
+        _fill(data, ends[:-1] + 1, np.diff(of_doc), 2)
+        _fill(data, ends[:-1] + 3, np.diff(of_source), 2)
+        own = ends[code] + HEAD.size
+        _fill(data, own + 2 * (np.arange(len(code)) - of_doc[code]), doc, 2)
+        own = ends[of] + HEAD.size + 2 * np.diff(of_doc)[of]
+        _fill(data, own + 8 * (np.arange(len(of)) - of_source[of]), counted, 8)
+        buffers = [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
+        return pa.array(list(self.names), pa.string()), pa.BinaryArray.from_buffers(pa.binary(), len(self.names), buffers)
+
+
+def _fill(data: np.ndarray, at: np.ndarray, values: np.ndarray, size: int) -> None:
+    """Write numbers of ``size`` bytes, the low one first."""
+    values = values.astype(np.uint64)
+    for byte in range(size):
+        data[at + byte] = (values >> np.uint64(8 * byte)).astype(np.uint8)
+
+
+def docs_of(found: bytes) -> int:
+    """The number of documents of a block's postings."""
+    return HEAD.unpack_from(found)[1]
+
+
+def postings(found: bytes) -> Iterator[tuple[int, bytes, list[int]]]:
+    """(task, documents, counted sources) of joined postings."""
+    at = 0
+    while at < len(found):
+        task, docs, sources = HEAD.unpack_from(found, at)
+        middle = at + HEAD.size + 2 * docs
+        end = middle + 8 * sources
+        yield task, found[at + HEAD.size : middle], struct.unpack_from(f"<{sources}Q", found, middle)
+        at = end
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
-    """(lang, block, chunk, docs, counts) of blocks of documents (text, lang, source)."""
-    names = ["lang", "block", "chunk", "docs", "counts"]
+    """(chunk, lang, tasks, postings) of blocks of documents (text, lang, source)."""
+    names = ["chunk", "lang", "tasks", "postings"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[str, Block] = {}
-        number = TaskContext.get().partitionId() << 32
+        task = TaskContext.get().partitionId()
+        number = Counter()  # of blocks by language
 
         def ended(langs: list[str]) -> Iterator[pa.RecordBatch]:
-            nonlocal number
             for lang in langs:
-                chunk, docs, counts = blocks.pop(lang).rows()
+                chunk, found = blocks.pop(lang).rows(task)
+                tasks = (task // TASKS << 32) + number[lang]
+                number[lang] += 1
                 for at in range(0, len(chunk), 20_000):
-                    part = [column.slice(at, 20_000) for column in (chunk, docs, counts)]
-                    same = [pa.array([lang] * len(part[0])), pa.array([number] * len(part[0]), pa.int64())]
-                    yield pa.RecordBatch.from_arrays([*same, *part], names)
-                number += 1
+                    own = chunk.slice(at, 20_000)
+                    same = [pa.array([lang] * len(own)), pa.array([tasks] * len(own), pa.int64())]
+                    yield pa.RecordBatch.from_arrays([own, *same, found.slice(at, 20_000)], names)
 
         for batch in batches:
             for part in slices(batch, 0):
@@ -117,64 +161,109 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
                     yield from ended(list(blocks))
         yield from ended(list(blocks))
 
-    return docs.select("text", "lang", "source").mapInArrow(run, "lang string, block long, chunk string, docs binary, counts binary")
+    return docs.select("text", "lang", "source").mapInArrow(run, "chunk string, lang string, tasks long, postings binary")
+
+
+def terms_of(chunk: str) -> Counter:
+    """The terms of a chunk, with how often they stand there."""
+    return Counter(_TERMS(chunk.translate(_LOWER)))
+
+
+def term_counts(rows: DataFrame) -> DataFrame:
+    """(lang, term, tasks, times, docs, postings): a chunk's rows with its terms; postings of like tasks are joined.
 
+    Rows come sorted by chunk, from all blocks, so that each distinct one is made terms once.
+    """
+    names = ["lang", "term", "tasks", "times", "docs", "postings"]
+    types = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, terms, place, held, out = None, [], None, [], []
 
-def terms_of(chunk: Column) -> Column:
-    """The terms of a chunk, repeated ones too."""
-    return F.regexp_extract_all(F.translate(chunk, _UPPER, _LOWER), F.lit(TERM), 0)
+        def closed() -> None:
+            if terms and held:
+                found = b"".join(held)
+                docs = sum(map(docs_of, held))
+                out.extend((place[0], term, place[1], times, docs, found) for term, times in terms)
+
+        def flushed() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [[]] * len(names)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+        for batch in batches:
+            for text, lang, tasks, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if text != chunk:
+                    closed()
+                    chunk, terms, place, held = text, list(terms_of(text).items()), (lang, tasks), []
+                elif (lang, tasks) != place:
+                    closed()
+                    place, held = (lang, tasks), []
+                held.append(found)
+                if len(out) >= 20_000:
+                    yield flushed()
+            yield flushed()
+        closed()
+        yield flushed()
+
+    by_chunk = rows.repartition("chunk").sortWithinPartitions("chunk", "lang", "tasks")
+    return by_chunk.mapInArrow(run, "lang string, term string, tasks long, times int, docs long, postings binary")
 
 
 def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:
     """(lang, source, term, n) of the terms in ``min_docs`` documents of their language, with source as its hash."""
-    rows = chunk_counts(docs).repartition("chunk")
-    once = rows.select("chunk").distinct().select("chunk", F.explode(terms_of(F.col("chunk"))).alias("term"))
-    dictionary = once.groupBy("chunk", "term").agg(F.count("*").alias("times"))
-    joined = rows.join(dictionary, "chunk").select("lang", "term", "block", "times", "docs", "counts")
-    sorted_rows = joined.repartition("lang", "term").sortWithinPartitions("lang", "term", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, n_docs, total = None, 0, {}  # the term that rows are still to come of
-        block, held = None, []  # and its postings in the block that rows are still to come of
+        now, rows = None, []  # the term that rows are still to come of
+        total, n_docs = {}, 0
+        place, held, sure = None, {}, 0  # and of the tasks, by task: documents
         out: list[tuple] = []
 
+        def united() -> int:
+            return sum(
+                len(own[0]) // 2 if len(own) == 1 else len(np.unique(np.frombuffer(b"".join(own), "<u2"))) for own in held.values()
+            )
+
         def flushed() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True)) or [[]] * 4
             out.clear()
+            types = (pa.string(), pa.int64(), pa.string(), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)],
-                ["lang", "source", "term", "n"],
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["lang", "source", "term", "n"]
             )
 
-        def distinct() -> int:
-            if len(held) < 2:
-                return len(held[0]) // 2 if held else 0
-            return len(np.unique(np.frombuffer(b"".join(held), "<u2")))
-
-        def closed() -> None:
-            if now is not None and n_docs + distinct() >= min_docs:
-                out.extend((now[0], np.uint64(source).view(np.int64).item(), now[1], n) for source, n in total.items())
+        def added() -> None:
+            nonlocal place, held, n_docs
+            for tasks, times, found in rows:
+                if tasks != place:
+                    n_docs += united()
+                    place, held = tasks, {}
+                for task, docs, sources in postings(found):
+                    held.setdefault(task, []).append(docs)
+                    for counted in sources:
+                        source = counted & (1 << SOURCE_BITS) - 1
+                        total[source] = total.get(source, 0) + times * (counted >> SOURCE_BITS)
+            rows.clear()
 
         for batch in batches:
-            for lang, term, own, times, docs, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for lang, term, tasks, times, docs, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (lang, term) != now:
-                    closed()
-                    now, n_docs, total, block, held = (lang, term), 0, {}, own, []
-                elif own != block:
-                    n_docs += distinct()
-                    block, held = own, []
-                held.append(docs)
-                if len(counts) == 12:
-                    source = int.from_bytes(counts[:8], "little")
-                    total[source] = total.get(source, 0) + times * int.from_bytes(counts[8:], "little")
-                else:
-                    for source, n in np.frombuffer(counts, [("source", "<u8"), ("n", "<u4")]).tolist():
-                        total[source] = total.get(source, 0) + times * n
+                    if sure >= min_docs:  # fewer postings can't be more documents
+                        added()
+                        if n_docs + united() >= min_docs:
+                            out.extend((now[0], source, now[1], n) for source, n in total.items())
+                    now, total, n_docs, place, held, sure = (lang, term), {}, 0, None, {}, 0
+                    rows.clear()
+                sure += docs
+                rows.append((tasks, times, found))
+                if sure >= min_docs:
+                    added()
             yield flushed()
-        closed()
-        yield flushed()
+        if sure >= min_docs and n_docs + united() >= min_docs:
+            yield pa.RecordBatch.from_pylist([dict(lang=now[0], source=source, term=now[1], n=n) for source, n in total.items()])
 
-    return sorted_rows.mapInArrow(run, "lang string, source long, term string, n long")
+    by_term = term_counts(chunk_counts(docs)).repartition("lang", "term").sortWithinPartitions("lang", "term", "tasks")
+    return by_term.mapInArrow(run, "lang string, source long, term string, n long")
 
 
 def _p(count: Column, n: Column, v: Column) -> Column:
@@ -258,13 +347,15 @@ def source_divergence(
     has its pairs; other columns don't matter; an empty table gives no rows.
 
     A chunk between white space is counted in blocks of documents, each distinct
-    one is made terms once, and postings of a term in a block are united, as
+    one is made terms once, and postings of a term are united by block, as
     chunks of a document may share terms. A frequent chunk has a row for each
-    block. The sums over pairs of sources are matrices of a task, in blocks of
+    block, a frequent term one for each ``TASKS`` of them and each of its chunks. The sums over pairs of sources are matrices of a task, in blocks of
     rows; no row is made for a term and a pair.
     """
     texts = filled(docs, text_col, lang_col, source_col)
-    groups = texts.select("lang", F.col("source").alias("name")).distinct().withColumn("source", F.xxhash64("name"))
+    groups = texts.select("lang", F.col("source").alias("name")).distinct().withColumn(
+        "source", F.xxhash64("name").bitwiseAND((1 << SOURCE_BITS) - 1)
+    )
     same = F.count("*").over(Window.partitionBy("lang", "source")) == 1  # two names of a hash would be one group
     one = F.when(same, F.col("source")).otherwise(F.raise_error(F.lit("two sources have one hash")).cast("long"))
     number = F.row_number().over(Window.partitionBy("lang").orderBy("name")) - 1

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions.checkpoints import checkpointed
-from ratelens.llm.common import text_key, texts_of, written
+from ratelens.llm.common import free_name, text_key, texts_of, written
 
 #: Keys that are sent to all executors (16 MB); more are shuffled.
 BROADCAST_KEYS = 1_000_000
@@ -289,11 +289,10 @@ def drop_repeated_lines(docs: DataFrame, settings: Lines = Lines()) -> DataFrame
     A text may become empty; its row stays.
     """
     found = repeated_lines(docs, settings).filter(F.size("repeated") > 0)
-    found = found.select(F.col("doc_id").alias("__id"), F.col("repeated").alias("__repeated"))
-    kept = F.array_join(
-        F.filter(F.split("text", "\n", -1), lambda line, at: ~F.array_contains("__repeated", at)), "\n"
-    )
-    text = F.when(F.col("__repeated").isNull() | F.col("text").isNull(), F.col("text")).otherwise(kept)
-    return docs.join(found, F.col("doc_id") == F.col("__id"), "left").select(
+    of_id, gone = free_name("id", docs), free_name("repeated", docs)
+    found = found.select(F.col("doc_id").alias(of_id), F.col("repeated").alias(gone))
+    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, at: ~F.array_contains(gone, at)), "\n")
+    text = F.when(F.col(gone).isNull() | F.col("text").isNull(), F.col("text")).otherwise(kept)
+    return docs.join(found, F.col("doc_id") == F.col(of_id), "left").select(
         *(text.alias(name) if name == "text" else F.col(f"`{name}`") for name in docs.columns)
     )

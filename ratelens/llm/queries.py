@@ -33,7 +33,12 @@ URL_RULES = [
 
 
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    findings, _ = scan_history(table(spark, sf_dir, "documents"), rule_version="1")
+    """Two runs, of every other document: the second one scans only contents that the first one's ledger lacks."""
+    history = table(spark, sf_dir, "documents")
+    odd = F.coalesce(F.col("doc_id") % 2 != 0, F.lit(True))
+    findings, ledger = scan_history(history.filter(~odd), rule_version="1")
+    later, _ = scan_history(history.filter(odd), rule_version="1", ledger=ledger)
+    findings = findings.unionByName(later)
     base_kinds = [rule.kind for rule in BASE_RULES]
 
     def joined(spans):

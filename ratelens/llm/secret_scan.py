@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelens.llm.common import map_texts, text_key, texts_of
+from ratelens.llm.common import map_texts, text_key, texts_of, written
 
 
 @dataclass(frozen=True)
@@ -90,7 +90,8 @@ def scan_history(
 
     Contents are made distinct within tasks before they are shuffled, so a
     blob that a third of all rows share arrives once from each task. A NULL
-    text is an empty blob; a repeated row repeats its result; NULL paths stay.
+    text is an empty blob; a repeated row repeats its result; NULL paths stay;
+    other columns don't matter; an empty history gives no rows.
     """
     named = texts_of(history, path_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     named = named.withColumn("blob", text_key(F.col("text")))
@@ -104,7 +105,7 @@ def scan_history(
         scan = scanner(rules)
         return lambda blobs, texts: (blobs, [scan(text) for text in texts])
 
-    fresh = map_texts(blobs.distinct(), start, schema, "text")
+    fresh = written(map_texts(blobs.distinct(), start, schema, "text"))  # findings and ledger come from one scan
     scanned = fresh if ledger is None else fresh.unionByName(ledger.select("blob", "findings"))
     # Blobs without findings need no row: the join is with those few that have some.
     hits = scanned.filter(F.size("findings") > 0).withColumnRenamed("findings", "found")

@@ -114,6 +114,8 @@ def links(fingerprints: DataFrame, distance: int = 2) -> DataFrame:
     distance table hold every close pair. Each bucket gives a star for each of
     its components, not all its pairs: as many rows as fingerprints at most.
     """
+    if not 0 <= distance < len(BLOCKS):
+        raise ValueError(f"distance is a number of bits from 0 to {len(BLOCKS) - 1}")
     keyed_type = T.StructType(
         [T.StructField("key", T.LongType()), T.StructField("choice", T.IntegerType()), T.StructField("fp", T.LongType())]
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens.functions.checkpoints import checkpointed
-from ratelens.llm.common import id_field, map_texts, texts_of, written
+from ratelens.llm.common import free_name, id_field, map_texts, texts_of, written
 
 #: Keys that are sent to all executors (16 MB); more are shuffled.
 BROADCAST_KEYS = 1_000_000
@@ -22,7 +22,9 @@ BROADCAST_KEYS = 1_000_000
 # Distinct words that a task remembers: bounds memory, not results.
 WORDS_KEPT = 500_000
 
+# An odd factor and its inverse modulo 2**64, for hashes of windows from running sums.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 _SENTENCES = re.compile(r"[^.!?\n]+[.!?]*").finditer
 _WORDS = re.compile(r"\S+").finditer
@@ -99,13 +101,14 @@ class Windows:
             return []
         if len(self.hashes) > WORDS_KEPT:
             self.hashes = {}
-        for word in set(words) - self.hashes.keys():
+        for word in set(words).difference(self.hashes):
             self.hashes[word] = xxhash.xxh3_64_intdigest(word)
         own = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        total = np.zeros(count, np.uint64)
-        for shift in range(self.size):
-            total = (total ^ own[shift : shift + count]) * _BASE
-            total ^= total >> np.uint64(32)
+        powers = np.cumprod(np.full(len(words), _BASE))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * powers)])
+        total = (sums[self.size :] - sums[: -self.size]) * np.cumprod(np.full(count, _INVERSE))
+        total = (total ^ total >> np.uint64(32)) * _BASE
+        total ^= total >> np.uint64(29)
         runs = np.lib.stride_tricks.sliding_window_view(total[::-1], self.run)
         last = (count - 1 - np.arange(len(runs)) - runs.argmin(axis=1))[::-1]  # the last least one of each run
         ends = np.append(np.flatnonzero(np.diff(last)), len(last) - 1)  # the last run with the same one
@@ -230,10 +233,9 @@ def without_spans(text: str | None, spans: list[dict] | None) -> str | None:
 
 def drop_repeats(docs: DataFrame, settings: Spans = Spans()) -> DataFrame:
     """All rows and columns of ``docs`` (doc_id, text, others), texts without the sentences of non-first spans."""
-    spans = repeated_spans(docs, settings).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
+    of_id, of_spans = free_name("id", docs), free_name("spans", docs)
+    spans = repeated_spans(docs, settings).select(F.col("doc_id").alias(of_id), F.col("spans").alias(of_spans))
     cut = F.udf(without_spans, "string")
-    return docs.join(spans, F.col("doc_id") == F.col("__id"), "left").select(
-        *(
-            cut("text", "__spans").alias(name) if name == "text" else F.col(f"`{name}`") for name in docs.columns
-        )
+    return docs.join(spans, F.col("doc_id") == F.col(of_id), "left").select(
+        *(cut("text", of_spans).alias(name) if name == "text" else F.col(f"`{name}`") for name in docs.columns)
     )

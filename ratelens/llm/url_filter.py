@@ -61,7 +61,7 @@ def path_of(url: Column) -> Column:
 def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     """Prefix and verdict of the longest rule that fits, of equal ones the first; NULL without any."""
     chosen = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for rule in sorted(rules, key=lambda rule: len(rule.prefix)):  # later ones, longer, go before
+    for rule in sorted(reversed(rules), key=lambda rule: len(rule.prefix)):  # later ones, longer or given before, decide
         name, slash, rest = rule.prefix.partition("/")
         fits = ((host == name) | host.endswith(f".{name}")) & path.startswith(slash + rest)
         value = F.struct(F.lit(rule.prefix).alias("rule"), F.lit(rule.verdict).alias("verdict"))

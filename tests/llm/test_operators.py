@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from ratelens.llm import decontamination, licenses, line_dedup, quality, queries, secret_scan, substring_dedup, toxicity
 from ratelens.llm.bpe import bpe_encode
-from ratelens.llm.near_copies import near_copies, shingle_set
 from ratelens.llm.simhash import BUCKET, fingerprint, links, simhash_components
 from ratelens.llm.url_filter import judge_urls
 from tests.compare import difference, duck
@@ -112,24 +111,23 @@ def test_crowded_buckets_lose_no_link(spark):
     assert len({find(v[0]) for v in signed}) == len(set(expected.values()))
 
 
-def test_near_dedup_stage_equals_exact_jaccard(spark):
+def test_near_dedup_stage_keeps_one_of_each_group(spark):
     import corpus_pipeline
 
-    words = [f"w{n * 7919 % 1009}" for n in range(100)]
-    texts = ["", "one", " ".join(words), " ".join(words).replace("w0 ", "else "), " ".join(words[:82]), " ".join(words[:60]), "ONE", None]
-    family = [" ".join(words[::-1][:n] + [f"x{n}"] + words[::-1][n + 1 :]) for n in range(0, 100, 3)]
-    texts += family + [row["text"] for row in given(spark).collect()]
-    sets = [set(shingle_set(text or "", 5).tolist()) for text in texts]
-    root = list(range(len(texts)))
-    for b in range(len(texts)):
-        for a in range(b):
-            if root[a] != root[b] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
-                low, high = sorted((root[a], root[b]))
-                root = [low if r == high else r for r in root]
-    assert {r["doc_id"]: r["component_id"] for r in near_copies(documents(spark, texts)).collect()} == dict(enumerate(root))
-    assert root[3] == root[4] == 2 and root[5] == 5  # more than two bits apart, but similar
+    texts = ["", "one", "ONE ", None] + [row["text"] for row in given(spark).collect()]
+    prints = [brute_fingerprint(text or "") for text in texts]
+    group = brute_components(set(prints))
+    firsts = {}
+    for doc_id, value in enumerate(prints):
+        firsts.setdefault(group[value], doc_id)
     kept = corpus_pipeline.near_dedup(spark, documents(spark, texts), SMALL)
-    assert {r["doc_id"] for r in kept.collect()} == set(root)
+    assert {row["doc_id"] for row in kept.collect()} == set(firsts.values())
+
+
+def test_simhash_rejects_a_distance_without_a_block_to_join_on(spark):
+    for distance in (-1, 5):
+        with pytest.raises(ValueError):
+            links(spark.createDataFrame([(1,)], "fp long"), distance)
 
 
 def test_line_dedup_equals_brute_force(spark):
