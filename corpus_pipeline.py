@@ -15,8 +15,8 @@ from ratelens.llm.bpe import bpe_encode
 from ratelens.llm.common import table, written
 from ratelens.llm.decontamination import drop_contaminated
 from ratelens.llm.line_dedup import Lines, drop_repeated_lines
-from ratelens.llm.near_copies import drop_near_copies
 from ratelens.llm.queries import VOCABULARY
+from ratelens.llm.simhash import drop_near_duplicates
 from ratelens.llm.toxicity import drop_toxic
 
 ORACLE_SQL = None
@@ -33,8 +33,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies."""
-    return drop_near_copies(docs)
+    """The first document of each group that fingerprints link: three-word shingles, two differing bits at most."""
+    return drop_near_duplicates(docs, shingle=3, distance=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
