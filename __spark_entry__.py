@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import series_queries  # noqa: E402
 from expected_sql import DOCUMENT_TOPICS, expected_sql  # noqa: E402
 from ratelens.functions.checkpoints import checkpointed  # noqa: E402
 from ratelens.operators.clustering import group_columns_in, segment_features, segment_kmeans, top_groups  # noqa: E402
@@ -75,6 +76,8 @@ def comparable(df: DataFrame) -> DataFrame:
             column = F.round(column, DIGITS_OF.get(field.name, DIGITS))
         elif isinstance(field.dataType, T.DateType):
             column = F.date_format(column, "yyyy-MM-dd")
+        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(field.dataType, T.ArrayType):
             column = F.array_join(column, ",")
         elif field.dataType.typeName() == "vectorudt":
@@ -321,9 +324,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = {name: _then(query, comparable) for name, query in _registered().items()}
+    own = {name: _then(query, comparable) for name, query in (_registered() | series_queries.queries()).items()}
     return own | ({**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return expected_sql() | (llm.oracle_sql() if llm else {})
+    return expected_sql() | series_queries.expected() | (llm.oracle_sql() if llm else {})

@@ -291,7 +291,7 @@ _EXPERIENCE = ", ".join(
 )
 
 
-def _reviews(select: str) -> str:
+def reviews_sql(select: str) -> str:
     return f"with {REVIEWS} {select}"
 
 
@@ -345,7 +345,7 @@ def _regression() -> tuple[str, str]:
 def _features(digits: int = 9) -> str:
     regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
     counts = ", ".join(f"count(*) filter (nat = '{name}') as \"{name}\"" for name in regions)
-    return _reviews(
+    return reviews_sql(
         f"""select Hotel_Name, round(max(Average_Score), {digits}) as Avg_Score, max(Total_Number_of_Reviews) as Total_Reviews,
         round(avg(Review_Total_Positive_Word_Counts), {digits}) as Avg_Pos_Words,
         round(avg(Review_Total_Negative_Word_Counts), {digits}) as Avg_Neg_Words,
@@ -383,16 +383,16 @@ def expected_sql() -> dict[str, str]:
       where regexp_matches(part, '^(.*) \\((\\d+)%\\)$')"""
     return {
         # trends
-        "review_trends": _reviews(f"select {_TREND} from trends"),
-        "review_trends_udf": _reviews(f"select {_TREND} from trends"),
-        "trend_direction": _reviews(
+        "review_trends": reviews_sql(f"select {_TREND} from trends"),
+        "review_trends_udf": reviews_sql(f"select {_TREND} from trends"),
+        "trend_direction": reviews_sql(
             f"""select {_TREND}, case when round(slope, 12) > 0 then 'Rising' when round(slope, 12) < 0 then 'Falling'
             else 'Stable' end as Trend_Direction from trends"""
         ),
-        "trend_top_improving": _reviews(
+        "trend_top_improving": reviews_sql(
             f"select {_TREND} from trends where round(slope, 12) > 0 order by round(slope, 12) desc, Hotel_Name limit 10"
         ),
-        "trend_top_declining": _reviews(
+        "trend_top_declining": reviews_sql(
             f"select {_TREND} from trends where round(slope, 12) < 0 order by round(slope, 12), Hotel_Name limit 10"
         ),
         "user_value_trends": """
@@ -402,72 +402,72 @@ def expected_sql() -> dict[str, str]:
               strftime(max(cast(ts as date)), '%Y-%m-%d') as Last_Review_Date
             from events where value is not null group by 1 having count(*) >= 30""",
         # tags
-        "tag_influence": _reviews(f"select {_TAG} from tags"),
-        "tag_consensus_band": _reviews(
+        "tag_influence": reviews_sql(f"select {_TAG} from tags"),
+        "tag_consensus_band": reviews_sql(
             f"""select {_TAG}, case when sd < 1 then 'Strong consensus' when sd <= 2 then 'Normal'
             when sd > 2 then 'Controversial' end as Consensus from tags"""
         ),
-        "tag_top_positive": _reviews(
+        "tag_top_positive": reviews_sql(
             f"""select {_TAG} from tags where round(impact, 9) > 0
             order by round(weighted, 9) desc, tag limit 10"""
         ),
-        "tag_top_negative": _reviews(
+        "tag_top_negative": reviews_sql(
             f"""select {_TAG} from tags where round(impact, 9) < 0
             order by round(weighted, 9) nulls last, tag limit 10"""
         ),
-        "stay_duration": _reviews(f"select {_STAY} from stays"),
-        "stay_category_delta": _reviews(
+        "stay_duration": reviews_sql(f"select {_STAY} from stays"),
+        "stay_category_delta": reviews_sql(
             """select category as Stay_Category, round(m, 9) as Avg_Score, round(avg(m) over (), 9) as Overall_Mean,
             round(m - avg(m) over (), 9) as Delta
             from (select category, avg(score) as m from stays group by 1)"""
         ),
-        "stay_top_per_category": _reviews(
+        "stay_top_per_category": reviews_sql(
             f"""select {_STAY}, cast(pos as integer) as Position from (select *, row_number() over (partition by category
             order by round(score, 9) desc, Hotel_Name) as pos from stays) where pos <= 5"""
         ),
-        "tag_pattern_coverage": _reviews(
+        "tag_pattern_coverage": reviews_sql(
             """select count(*) as Total_Rows, count(*) filter (Tags like '%Stayed % night%') as Matching_Rows,
             round(100.0 * count(*) filter (Tags like '%Stayed % night%') / count(*), 9) as Coverage_Pct from r"""
         ),
-        "tag_pattern_sample": _reviews("select Tags from r where Tags like '%Stayed % night%' order by Tags limit 20"),
+        "tag_pattern_sample": reviews_sql("select Tags from r where Tags like '%Stayed % night%' order by Tags limit 20"),
         # reviewer groups
-        "nationality_bias": _reviews(f"select {_BIAS} from bias"),
-        "nationality_critics": _reviews(f"select {_BIAS} from bias order by round(deviation, 9), nat limit 3"),
-        "nationality_generous": _reviews(f"select {_BIAS} from bias order by round(deviation, 9) desc, nat limit 3"),
-        "nationality_composition": _reviews("select Hotel_Name, text as Top_Nationalities from composition"),
-        "local_vs_tourist": _reviews(f"select {_COMPARED} from compared"),
-        "preference_delta_mean": _reviews("select round(avg(delta), 9) as Avg_Preference_Delta from compared"),
-        "local_favourites": _reviews(
+        "nationality_bias": reviews_sql(f"select {_BIAS} from bias"),
+        "nationality_critics": reviews_sql(f"select {_BIAS} from bias order by round(deviation, 9), nat limit 3"),
+        "nationality_generous": reviews_sql(f"select {_BIAS} from bias order by round(deviation, 9) desc, nat limit 3"),
+        "nationality_composition": reviews_sql("select Hotel_Name, text as Top_Nationalities from composition"),
+        "local_vs_tourist": reviews_sql(f"select {_COMPARED} from compared"),
+        "preference_delta_mean": reviews_sql("select round(avg(delta), 9) as Avg_Preference_Delta from compared"),
+        "local_favourites": reviews_sql(
             f"select {_COMPARED} from compared order by round(delta, 9) desc, Hotel_Name limit 10"
         ),
-        "tourist_favourites": _reviews(
+        "tourist_favourites": reviews_sql(
             f"select {_COMPARED} from compared order by round(delta, 9), Hotel_Name limit 10"
         ),
-        "nationality_summary_parse": _reviews(
+        "nationality_summary_parse": reviews_sql(
             shares.format(category="Local Favorites", order="desc")
             + " union all "
             + shares.format(category="Tourist Favorites", order="asc")
         ),
-        "reviewer_experience": _reviews(f"select {_EXPERIENCE} from experience"),
-        "experience_gap_mean": _reviews("select round(avg(gap), 9) as Avg_Experience_Gap from experience"),
-        "experience_critics": _reviews(
+        "reviewer_experience": reviews_sql(f"select {_EXPERIENCE} from experience"),
+        "experience_gap_mean": reviews_sql("select round(avg(gap), 9) as Avg_Experience_Gap from experience"),
+        "experience_critics": reviews_sql(
             f"select {_EXPERIENCE} from experience order by round(gap, 9), Hotel_Name limit 10"
         ),
-        "experience_fans": _reviews(
+        "experience_fans": reviews_sql(
             f"select {_EXPERIENCE} from experience order by round(gap, 9) desc, Hotel_Name limit 10"
         ),
         # neighbourhood, regions, maps
-        "local_competitiveness": _reviews(f"select {_NEAR} from near"),
-        "local_competitiveness_halved": _reviews(f"select {_NEAR} from near"),
-        "local_gems": _reviews(
+        "local_competitiveness": reviews_sql(f"select {_NEAR} from near"),
+        "local_competitiveness_halved": reviews_sql(f"select {_NEAR} from near"),
+        "local_gems": reviews_sql(
             f"select {_NEAR} from near where round(delta, 9) > 0 order by round(delta, 9) desc, Hotel_Name limit 10"
         ),
-        "local_underperformers": _reviews(
+        "local_underperformers": reviews_sql(
             f"select {_NEAR} from near where round(delta, 9) < 0 order by round(delta, 9), Hotel_Name limit 10"
         ),
-        "top_hotels_by_nation": _reviews(f"select {_RANKED} from ranked where pos <= 10"),
-        "top_hotels_by_nation_untied": _reviews(f"select {_RANKED} from ranked where row_pos <= 10"),
-        "map_centroid": _reviews(
+        "top_hotels_by_nation": reviews_sql(f"select {_RANKED} from ranked where pos <= 10"),
+        "top_hotels_by_nation_untied": reviews_sql(f"select {_RANKED} from ranked where row_pos <= 10"),
+        "map_centroid": reviews_sql(
             """select round(avg(lat), 9) as Center_Lat, round(avg(lng), 9) as Center_Lng, count(*) as Point_Count
             from ranked where pos <= 10 and lat is not null and lng is not null"""
         ),
@@ -475,20 +475,20 @@ def expected_sql() -> dict[str, str]:
             select p_brand as Nation, p_partkey, p_size, round(p_retailprice, 9) as p_retailprice, p_brand
             from (select *, rank() over (partition by p_brand order by p_size desc, p_retailprice desc) as pos
                   from part) where pos <= 10""",
-        "top_hotels": _reviews(
+        "top_hotels": reviews_sql(
             """select Hotel_Name, round(mean, 9) as Average_Score, n as Review_Count
             from (select Hotel_Name, avg(Reviewer_Score) as mean, count(Reviewer_Score) as n from r group by 1)
             where n >= 20 order by round(mean, 9) desc, Hotel_Name limit 10"""
         ),
         "dataset_row_count": "select count(*) as Row_Count from lineitem",
         # seasons
-        "seasonal_preferences": _reviews(f"select {_SEGMENT} from segments"),
-        "seasonal_select": _reviews(
+        "seasonal_preferences": reviews_sql(f"select {_SEGMENT} from segments"),
+        "seasonal_select": reviews_sql(
             f"""select {_SEGMENT} from segments where Season in ('Summer', 'Winter') and Traveler_Type in ('Hot', 'Old')
             order by round(score, 9) desc, Hotel_Name, Hotel_Address, Season, Traveler_Type limit 20"""
         ),
-        "season_entities": _reviews("select distinct Hotel_Name from segments"),
-        "season_heatmap": _reviews(
+        "season_entities": reviews_sql("select distinct Hotel_Name from segments"),
+        "season_heatmap": reviews_sql(
             "select Hotel_Name, Hotel_Address, Traveler_Type, "
             + ", ".join(
                 f"round(max(case when Season = '{s}' then score end), 9) as {s}"

@@ -44,11 +44,47 @@ def running_sums(
     same = [local[name].eqNullSafe(before[f"__{name}"]) for name in (*keys, chunk)]
     zero = F.lit(0)
     return local.join(before, same).select(
-        *df.columns,
+        *(local[name] for name in df.columns),
         *((F.coalesce(F.col(name), zero) + F.coalesce(F.col(f"__before_{name}"), zero)).alias(name) for name in sums),
     )
 
 
+def carried(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    values: Mapping[str, Column],
+    own: bool = False,
+    backward: bool = False,
+    chunk: str = "chunk",
+) -> DataFrame:
+    """``df`` with the last value that isn't NULL in the rows of its keys before its own.
+
+    With ``own`` its own row counts too; ``backward`` looks at the rows behind
+    instead. ``chunk`` and ``order`` are as in :func:`running_sums`. Within a
+    chunk a window carries the value on; from chunk to chunk the last one of
+    each is carried, of which there is a row for each key and chunk.
+    """
+    place = F.struct(*order)
+    latest = F.min_by if backward else F.max_by
+    ends = df.groupBy(*keys, chunk).agg(
+        *(latest(value, F.when(value.isNotNull(), place)).alias(name) for name, value in values.items())
+    )
+    turn = (lambda name: F.col(name).desc()) if backward else F.col
+    earlier = Window.partitionBy(*keys).orderBy(turn(chunk)).rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select(
+        *(F.col(name).alias(f"__{name}") for name in (*keys, chunk)),
+        *(F.last(name, ignorenulls=True).over(earlier).alias(f"__before_{name}") for name in values),
+    )
+    until = Window.partitionBy(*keys, chunk).orderBy(*map(turn, order))
+    until = until.rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    local = df.select("*", *(F.last(value, ignorenulls=True).over(until).alias(name) for name, value in values.items()))
+    same = [local[name].eqNullSafe(before[f"__{name}"]) for name in (*keys, chunk)]
+    return local.join(before, same).select(
+        *(local[name] for name in df.columns), *(F.coalesce(local[name], F.col(f"__before_{name}")).alias(name) for name in values)
+    )
+
+
 def with_next(df: DataFrame, order: Sequence[str], chunk: str = "chunk", name: str = "next") -> DataFrame:
     """``df``, chunked by ``order``, with the values of ``order`` of the row behind, as a struct; NULL for the last one.
 
