@@ -111,11 +111,6 @@ def _fill(data: np.ndarray, at: np.ndarray, values: np.ndarray, size: int) -> No
         data[at + byte] = (values >> np.uint64(8 * byte)).astype(np.uint8)
 
 
-def docs_of(found: bytes) -> int:
-    """The number of documents of a block's postings."""
-    return HEAD.unpack_from(found)[1]
-
-
 def postings(found: bytes) -> Iterator[tuple[int, bytes, list[int]]]:
     """(task, documents, counted sources) of joined postings."""
     at = 0
@@ -169,42 +164,58 @@ def terms_of(chunk: str) -> Counter:
     return Counter(_TERMS(chunk.translate(_LOWER)))
 
 
+def _changes(batch: pa.RecordBatch) -> np.ndarray:
+    """Whether each row differs from the one before; the first one does."""
+    out = np.ones(batch.num_rows, bool)
+    if batch.num_rows > 1:
+        differs = [pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)) for c in batch.columns]
+        out[1:] = np.logical_or.reduce([d.to_numpy(zero_copy_only=False) for d in differs])
+    return out
+
+
+def _joined(found: pa.Array, starts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Postings of consecutive rows as one, and their documents."""
+    offsets, data = np.frombuffer(found.buffers()[1], np.int32)[found.offset :][: len(found) + 1], found.buffers()[2]
+    bytes_ = np.frombuffer(data, np.uint8)
+    docs = bytes_[offsets[:-1] + 1].astype(np.int64) + (bytes_[offsets[:-1] + 2].astype(np.int64) << 8)
+    ends = np.append(offsets[starts], offsets[-1])
+    joined = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), data])
+    return joined, np.add.reduceat(docs, starts)
+
+
 def term_counts(rows: DataFrame) -> DataFrame:
     """(lang, term, tasks, times, docs, postings): a chunk's rows with its terms; postings of like tasks are joined.
 
     Rows come sorted by chunk, from all blocks, so that each distinct one is made terms once.
     """
     names = ["lang", "term", "tasks", "times", "docs", "postings"]
-    types = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, terms, place, held, out = None, [], None, [], []
-
-        def closed() -> None:
-            if terms and held:
-                found = b"".join(held)
-                docs = sum(map(docs_of, held))
-                out.extend((place[0], term, place[1], times, docs, found) for term, times in terms)
-
-        def flushed() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) or [[]] * len(names)
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
-
+        chunk, terms = None, []  # the last one: it may go on in the next batch
         for batch in batches:
-            for text, lang, tasks, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if not batch.num_rows:
+                continue
+            starts = np.flatnonzero(_changes(batch.select(["chunk", "lang", "tasks"])))
+            group = batch.take(pa.array(starts))
+            found, docs = _joined(batch.column("postings"), starts)
+            row, term, times = [], [], []
+            for n, text in enumerate(group.column("chunk").to_pylist()):
                 if text != chunk:
-                    closed()
-                    chunk, terms, place, held = text, list(terms_of(text).items()), (lang, tasks), []
-                elif (lang, tasks) != place:
-                    closed()
-                    place, held = (lang, tasks), []
-                held.append(found)
-                if len(out) >= 20_000:
-                    yield flushed()
-            yield flushed()
-        closed()
-        yield flushed()
+                    chunk, terms = text, terms_of(text).items()
+                for own, often in terms:
+                    row.append(n)
+                    term.append(own)
+                    times.append(often)
+            at = pa.array(row, pa.int64())
+            columns = [
+                group.column("lang").take(at),
+                pa.array(term, pa.string()),
+                group.column("tasks").take(at),
+                pa.array(times, pa.int32()),
+                pa.array(docs).take(at),
+                found.take(at),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     by_chunk = rows.repartition("chunk").sortWithinPartitions("chunk", "lang", "tasks")
     return by_chunk.mapInArrow(run, "lang string, term string, tasks long, times int, docs long, postings binary")
