@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from expected_sql import reviews_sql
+from expected_sql import expected_sql, reviews_sql
 from ratelens.functions.calendar import season
 from ratelens.functions.checkpoints import stored
 from ratelens.functions.parsing import day, tag_list
+from ratelens.functions.user_functions import SHAPE, aggregated, register_review_tags
 from ratelens.operators.history import asof_join, moving_scores, moving_values, review_history
+from ratelens.operators.incremental import merged, tag_influence_of, tag_state, trend_state, trends_of
 from ratelens.operators.intervals import interval_join
 from ratelens.operators.sketches import monthly_sketches, rolled_up, within_bounds
 from ratelens.operators.subtotals import subtotals
+from ratelens.operators.versions import compare_versions
 from ratelens.sources.schema import ReviewColumns
 from ratelens.sources.star_schema import star_reviews, table
+from ratelens.streaming.windows import event_files, run_available, sessions, windowed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,8 +96,76 @@ def complaint_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def streamed(analysis: Callable[..., DataFrame], *args, delay: str = "1 hour") -> Query:
+    """What an analysis of the events as a stream of files has closed when all files are read."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        schema = table(spark, sf_dir, "events").schema
+        stream = event_files(spark, f"{sf_dir}/events.parquet", schema)
+        return run_available(analysis(stream, *args, delay=delay), f"events-{uuid.uuid4()}")
+
+    return query
+
+
+def _halves(reviews: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Reviews up to the last run, and those since."""
+    return reviews.filter("review_id % 2 = 0"), reviews.filter("review_id % 2 = 1")
+
+
+def trends_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["Hotel_Name", "Review_Date", "Reviewer_Score", "Average_Score", "Total_Number_of_Reviews", "review_id"]
+    before, since = _halves(star_reviews(spark, sf_dir, columns))
+    return trends_of(merged(stored(trend_state(before)), trend_state(since)))
+
+
+def tags_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before, since = _halves(star_reviews(spark, sf_dir, ["Tags", "Reviewer_Score", "review_id"]))
+    return tag_influence_of(stored(merged(stored(tag_state(before)), tag_state(since))))
+
+
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders against a version of them with some removed, some added and some changed."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    kept = orders.filter(key % 17 != 0).withColumns(
+        {
+            "o_totalprice": F.when(key % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+            "o_orderstatus": F.when(key % 11 != 0, F.col("o_orderstatus")),
+        }
+    )
+    added = orders.filter(key % 23 == 0).withColumn("o_orderkey", -1 - key)
+    return compare_versions(orders, kept.unionByName(added), ["o_orderkey"]).drop("old", "new")
+
+
+def tag_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of each tag, the tags taken apart by a table function in SQL."""
+    register_review_tags(spark)
+    reviews = star_reviews(spark, sf_dir, ["Tags", "Reviewer_Score"])
+    return spark.sql(
+        """select Single_Tag, count(Score) as Count, avg(Score) as Average_Score
+        from review_tags(table(select Tags as tags, Reviewer_Score as score from {reviews})) group by Single_Tag""",
+        reviews=reviews,
+    )
+
+
+def score_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moments of the scores of each entity, by an aggregate in Python."""
+    shape = aggregated(star_reviews(spark, sf_dir, ["Hotel_Name", "Reviewer_Score"]), ["Hotel_Name"], "Reviewer_Score", SHAPE)
+    return shape.withColumn("Review_Count", F.col("Review_Count").cast("long"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "event_windows": lambda spark, sf_dir: windowed(table(spark, sf_dir, "events"), ["event_type"], "value", "1 hour"),
+        "event_windows_stream": streamed(windowed, ["event_type"], "value", "1 hour"),
+        "event_sliding_stream": streamed(windowed, ["event_type"], "value", "6 hours", "2 hours"),
+        "event_sessions": lambda spark, sf_dir: sessions(table(spark, sf_dir, "events"), ["user_id"], "value", "4 hours"),
+        "event_sessions_stream": streamed(sessions, ["user_id"], "value", "4 hours"),
+        "review_trends_incremental": trends_incremental,
+        "tag_influence_incremental": tags_incremental,
+        "order_changes": order_changes,
+        "tag_table_function": tag_table_function,
+        "score_shape": score_shape,
         "moving_scores": moving,
         "event_history": event_history,
         "event_moving_values": event_moving_values,
@@ -140,11 +213,73 @@ def _sketches(group: str, by: str) -> str:
         true as Distinct_Holds, true as Quantile_50_Holds, true as Quantile_90_Holds from lineitem group by 1"""
 
 
+_MEASURES = """strftime(s, '%Y-%m-%d %H:%M:%S.%f') as Window_Start, strftime(e, '%Y-%m-%d %H:%M:%S.%f') as Window_End,
+    count(*) as Events, round(sum(value), 9) as Total, round(min(value), 9) as Lowest, round(max(value), 9) as Highest"""
+
+# A window is closed when the watermark, an hour behind the latest event, has passed its end.
+_CLOSED = "e <= (select max(ts) from events) - interval 1 hour"
+
+
+def _windows(size: int, slide: int, closed: str = "true") -> str:
+    return f"""
+        with starts as (
+          select *, time_bucket(interval {slide} hours, ts, timestamp '1970-01-01') - to_hours(cast(k * {slide} as integer)) as s
+          from events, (select unnest(range({size // slide})) as k) where ts is not null),
+        windows as (select *, s + interval {size} hours as e from starts)
+        select event_type, {_MEASURES} from windows where {closed} group by event_type, s, e"""
+
+
+def _sessions(closed: str = "true") -> str:
+    return f"""
+        with islands as (
+          select *, sum(case when ts <= before + interval 4 hours then 0 else 1 end)
+            over (partition by user_id order by ts, event_id rows unbounded preceding) as island
+          from (select *, lag(ts) over (partition by user_id order by ts, event_id) as before from events where ts is not null)),
+        ends as (select user_id, island, min(ts) as s, max(ts) + interval 4 hours as e from islands group by 1, 2)
+        select user_id, {_MEASURES} from islands join ends using (user_id, island) where {closed} group by user_id, island, s, e"""
+
+
 def expected() -> dict[str, str]:
+    known = expected_sql()
+    moment = "sum((Reviewer_Score - mean) ** {})"
     earlier = "over (partition by Hotel_Name order by d range between interval 179 days preceding and interval 90 days preceding)"
     last = "over (partition by Hotel_Name order by d range between interval 89 days preceding and current row)"
     by_day = "over (partition by Hotel_Name order by d)"
     return {
+        "event_windows": _windows(1, 1),
+        "event_windows_stream": _windows(1, 1, _CLOSED),
+        "event_sliding_stream": _windows(6, 2, _CLOSED),
+        "event_sessions": _sessions(),
+        "event_sessions_stream": _sessions(_CLOSED),
+        "review_trends_incremental": known["review_trends"],
+        "tag_influence_incremental": known["tag_influence"],
+        "order_changes": """
+            with old as (select o_orderkey as k, o_custkey as c, o_orderstatus as s, o_totalprice as p from orders),
+            new as (
+              select k, c, case when k % 11 <> 0 then s end as s, case when k % 7 = 0 then p + 1 else p end as p
+              from old where k % 17 <> 0
+              union all select -1 - k, c, s, p from old where k % 23 = 0)
+            select coalesce(o.k, n.k) as o_orderkey, cast(1 as bigint) as Occurrence,
+              case when o.k is null then 'added' when n.k is null then 'removed'
+                when o.c is distinct from n.c or o.s is distinct from n.s or o.p is distinct from n.p then 'changed'
+                else 'same' end as Change,
+              case when o.k is null or n.k is null then '' else
+                array_to_string(list_filter([case when o.c is distinct from n.c then 'o_custkey' end,
+                  case when o.s is distinct from n.s then 'o_orderstatus' end,
+                  case when o.p is distinct from n.p then 'o_totalprice' end], lambda x: x is not null), ',') end as Changed
+            from old o full join new n on o.k = n.k""",
+        "tag_table_function": reviews_sql(
+            """select tag as Single_Tag, count(Reviewer_Score) as Count, round(avg(Reviewer_Score), 9) as Average_Score
+            from tag_rows group by 1"""
+        ),
+        "score_shape": reviews_sql(
+            f"""select Hotel_Name, n as Review_Count, round(any_value(mean), 9) as Average_Score,
+              round(sqrt(n) * {moment.format(3)} / nullif({moment.format(2)}, 0) ** 1.5, 9) as Skewness,
+              round(n * {moment.format(4)} / nullif({moment.format(2)}, 0) ** 2 - 3, 9) as Kurtosis
+            from (select Hotel_Name, Reviewer_Score, avg(Reviewer_Score) over (partition by Hotel_Name) as mean,
+                    count(*) over (partition by Hotel_Name) as n from r)
+            group by Hotel_Name, n"""
+        ),
         "moving_scores": reviews_sql(
             f"""select Hotel_Name, strftime(d, '%Y-%m-%d') as Review_Day, n as Review_Count, round(mean, 9) as Average_Score,
               cast(sum(n) {last} as bigint) as Moving_Count, round(sum(total) {last} / sum(n) {last}, 9) as Moving_Average,
