@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,9 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import series_queries  # noqa: E402
-from expected_sql import DOCUMENT_TOPICS, expected_sql  # noqa: E402
-from ratelens.functions.checkpoints import checkpointed  # noqa: E402
+from expected_sql import DOCUMENT_PHRASES, DOCUMENT_TOPICS, expected_sql  # noqa: E402
+from ratelens.functions.checkpoints import checkpoint_folder, checkpointed  # noqa: E402
+from ratelens.functions.text import HOTEL_TOPICS  # noqa: E402
 from ratelens.operators.clustering import group_columns_in, segment_features, segment_kmeans, top_groups  # noqa: E402
 from ratelens.operators.entities import top_hotels  # noqa: E402
 from ratelens.operators.groups import (  # noqa: E402
@@ -44,9 +46,16 @@ from ratelens.operators.topics import (  # noqa: E402
 )
 from ratelens.operators.trends import review_trends, review_trends_udf  # noqa: E402
 from ratelens.plans import shortlists as S  # noqa: E402
-from ratelens.sources.files import dataset_row_count  # noqa: E402
-from ratelens.sources.schema import ReviewColumns  # noqa: E402
-from ratelens.sources.star_schema import STAR_REGIONS, document_reviews, star_reviews, table  # noqa: E402
+from ratelens.operators.topics import tagged as topic_tags  # noqa: E402
+from ratelens.sources.files import dataset_row_count, read_reviews  # noqa: E402
+from ratelens.sources.schema import REVIEW_SCHEMA, ReviewColumns  # noqa: E402
+from ratelens.sources.star_schema import (  # noqa: E402
+    STAR_REGIONS,
+    document_reviews,
+    document_topics,
+    star_reviews,
+    table,
+)
 
 try:  # the operators on training text are optional
     import corpus_pipeline  # noqa: E402
@@ -220,6 +229,48 @@ def regression(spark: SparkSession, sf_dir: str):
     return satisfaction_regression(reviews, in_training=F.pmod("review_id", F.lit(10)) < 8)
 
 
+def nearest_centres(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """Entities in all, and those that no other centre is nearer to than their own."""
+    clustered = segment_kmeans(_cluster_reviews(spark, sf_dir), **options)
+    nearest = F.col("Centre_Distance") <= F.coalesce("Other_Distance", F.lit(float("inf"))) + 1e-9
+    return clustered.agg(F.count("*").alias("Entities"), F.count_if(nearest).alias("At_Nearest_Centre"))
+
+
+def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_topics(spark, sf_dir, DOCUMENT_TOPICS)
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topic_trends(document_topics(spark, sf_dir, DOCUMENT_PHRASES))
+
+
+def hotel_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hotel topics of the parts' names, and the scores of the reviews of those parts."""
+    parts = topic_tags(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", HOTEL_TOPICS).drop("p_name")
+    items = table(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_quantity") / 5.0).alias("Reviewer_Score"))
+    return topic_score_impact(items.join(parts, F.col("l_partkey") == F.col("p_partkey")))
+
+
+def from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews written to a CSV and read from it by the names in its header."""
+    given = ["Hotel_Name", "Hotel_Address", "Review_Date", "Reviewer_Score", "Average_Score", "Tags", "lat", "lng", "Reviewer_Nationality"]
+    reviews = star_reviews(spark, sf_dir, given)
+    written = reviews.select(*(F.col(f.name) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name) for f in reversed(REVIEW_SCHEMA)))
+    folder = f"{checkpoint_folder(spark)}/reviews-{uuid.uuid4()}"
+    written.write.csv(folder, header=True)
+    return (
+        read_reviews(spark, folder)
+        .groupBy("Hotel_Name", "Hotel_Address")
+        .agg(
+            F.count("*").alias("Review_Count"),
+            F.avg("Reviewer_Score").alias("Average_Score"),
+            F.count_distinct("Tags").alias("Tag_Lists"),
+            F.max("lat").alias("lat"),
+            F.max(F.try_to_date("Review_Date", "M/d/yyyy")).alias("Last_Review_Date"),
+        )
+    )
+
+
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic_tagging(document_reviews(spark, sf_dir), DOCUMENT_TOPICS)
 
@@ -311,9 +362,16 @@ def _registered() -> dict[str, Query]:
         "review_text": lambda spark, sf_dir: review_text(document_reviews(spark, sf_dir)),
         "derived_sentiment": sentiments,
         "topic_tagging": tagged,
-        "negative_topic_frequency": _then(tagged, negative_topic_frequency),
-        "topic_trends": _then(tagged, topic_trends),
-        "topic_score_impact": _then(tagged, topic_score_impact),
+        "negative_topic_frequency": _then(topics, negative_topic_frequency),
+        "topic_trends": _then(topics, topic_trends),
+        "topic_score_impact": _then(topics, topic_score_impact),
+        "phrase_trends": phrases,
+        "hotel_topic_impact": hotel_topics,
+        "reviews_from_csv": from_csv,
+        "segment_kmeans_nearest": lambda spark, sf_dir: nearest_centres(
+            spark, sf_dir, use_verbosity=True, use_location=True, use_nationality=True
+        ),
+        "segment_kmeans_default_nearest": nearest_centres,
         "event_type_trends": event_type_trends,
     }
 

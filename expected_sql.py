@@ -181,6 +181,10 @@ DOCUMENT_TOPICS = {
 }
 
 
+# Phrases of the documents; any separator may stand between their words.
+DOCUMENT_PHRASES = {"English": ("of the", "on the"), "French": ("dans le", "de la"), "License": ("mit license", "all rights")}
+
+
 def _list(words) -> str:
     return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
@@ -530,6 +534,35 @@ def expected_sql() -> dict[str, str]:
             round(avg(Reviewer_Score) - (select avg(Reviewer_Score) from texts), 9) as Impact
             from topic_rows group by 1 having count(Reviewer_Score) >= 2"""
         ),
+        "phrase_trends": _documents(
+            "select strftime(o_orderdate, '%Y-%m') as Month_Year, Topic, count(*) as Count from ("
+            + " union all ".join(
+                f"select o_orderdate, '{topic}' as Topic from tagged where "
+                + " or ".join(f"contains(' ' || array_to_string(words, ' ') || ' ', ' {phrase} ')" for phrase in found)
+                for topic, found in DOCUMENT_PHRASES.items()
+            )
+            + ") where o_orderdate is not null group by 1, 2"
+        ),
+        "hotel_topic_impact": """
+            with scored as (
+              select l_quantity / cast(5 as double) as score, list_has_any(string_split(p_name, ' '), ['size', 'small', 'tiny']) as hit
+              from lineitem join part on l_partkey = p_partkey)
+            select 'Room Size' as Topic, round(avg(score), 9) as Average_Score, count(*) as Count,
+              round((select avg(score) from scored), 9) as Global_Average,
+              round(avg(score) - (select avg(score) from scored), 9) as Impact
+            from scored where hit having count(*) >= 2""",
+        "reviews_from_csv": reviews_sql(
+            """select Hotel_Name, Hotel_Address, count(*) as Review_Count, round(avg(Reviewer_Score), 9) as Average_Score,
+            count(distinct Tags) as Tag_Lists, max(lat) as lat, strftime(max(d), '%Y-%m-%d') as Last_Review_Date
+            from r group by 1, 2"""
+        ),
+        "segment_kmeans_nearest": reviews_sql(
+            """select count(distinct Hotel_Name) as Entities, count(distinct Hotel_Name) as At_Nearest_Centre
+            from r where lat_deg is not null and lng_deg is not null"""
+        ),
+        "segment_kmeans_default_nearest": reviews_sql(
+            "select count(distinct Hotel_Name) as Entities, count(distinct Hotel_Name) as At_Nearest_Centre from r"
+        ),
         "event_type_trends": """
             select strftime(ts, '%Y-%m') as Month_Year, event_type as Topic, count(*) as Count
             from events where ts is not null and event_type is not null group by 1, 2""",

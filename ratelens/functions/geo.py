@@ -21,3 +21,14 @@ def unit_sphere(lat: Column, lng: Column) -> dict[str, Column]:
     """Cartesian x, y, z of a point given in degrees."""
     lat, lng = F.radians(lat), F.radians(lng)
     return {"x": F.cos(lat) * F.cos(lng), "y": F.cos(lat) * F.sin(lng), "z": F.sin(lat)}
+
+
+def one_place(lat: Column, lng: Column) -> list[Column]:
+    """Aggregates of latitude and longitude that come from one row: of the rows with both, the greatest pair.
+
+    Pairs are compared by latitude, then longitude, to 12 decimals, as one whole
+    number, so that the aggregate stays a hash aggregate.
+    """
+    steps = [(F.round(x * 1e12)).try_cast("decimal(20,0)") for x in (lat, lng)]
+    order = F.try_add((steps[0] * F.lit(10**15).cast("decimal(16,0)")).cast("decimal(38,0)"), steps[1])
+    return [F.max_by(lat, order), F.max_by(lng, order)]

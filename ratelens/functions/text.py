@@ -18,7 +18,7 @@ POSITIVE_ABOVE = 8.0
 # Topic names. The words that mention them are a starting point to extend.
 HOTEL_TOPICS: dict[str, tuple[str, ...]] = {
     "Breakfast": ("breakfast", "buffet", "coffee", "eggs", "croissant"),
-    "Room Size": ("size", "spacious", "tiny", "cramped", "small"),
+    "Room Size": ("room size", "size", "spacious", "tiny", "cramped", "small"),
     "Staff": ("staff", "reception", "receptionist", "service", "concierge"),
     "Location": ("location", "located", "metro", "central", "station"),
     "Cleanliness": ("clean", "cleanliness", "dirty", "dust", "stain"),
@@ -47,10 +47,26 @@ def sentiment(score: Column) -> Column:
     )
 
 
-def mentioned_words(text: Column, dictionary: Mapping[str, Sequence[str]]) -> Column:
-    """The words of the dictionary that occur in the whole text."""
+def words_of(text: Column) -> Column:
+    """The words of a text in lower case, in order."""
+    return F.split(F.lower(text), WORD_BREAK)
+
+
+def mentioned_words(words: Column, dictionary: Mapping[str, Sequence[str]]) -> Column:
+    """The words and phrases of the dictionary that occur among the words of a text.
+
+    A phrase is words with one space between them; any separator may stand
+    between them in the text. Words are looked up in one pass; only a dictionary
+    with phrases has the words joined again to search for them.
+    """
     known = sorted({word for topic_words in dictionary.values() for word in topic_words})
-    return F.array_intersect(F.split(F.lower(text), WORD_BREAK), F.array(*map(F.lit, known)))
+    phrases = [word for word in known if " " in word]
+    found = F.array_intersect(words, F.array(*map(F.lit, known)))
+    if not phrases:
+        return found
+    spaced = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+    held = F.filter(F.array(*map(F.lit, phrases)), lambda phrase: F.contains(spaced, F.concat(F.lit(" "), phrase, F.lit(" "))))
+    return F.concat(found, held)
 
 
 def topics_of(mentioned: Column, dictionary: Mapping[str, Sequence[str]]) -> Column:

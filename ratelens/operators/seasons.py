@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ratelens.functions.calendar import season
 from ratelens.functions.numeric import stable
+from ratelens.functions.geo import one_place
 from ratelens.functions.parsing import day, number, region_of
 from ratelens.sources.schema import REVIEWS, ReviewColumns
 
@@ -68,9 +69,10 @@ def seasonal_preferences(
                 F.col(rows if min_reviews < 1 else count).alias("rows"),
             )
         )
+    lat, lng = one_place(F.col("lat"), F.col("lng"))
     result = (
         reviews.groupBy(cols.entity, cols.address, "Season")
-        .agg(*measures, F.max("lat").alias("lat"), F.max("lng").alias("lng"))
+        .agg(*measures, lat.alias("lat"), lng.alias("lng"))
         .select(cols.entity, cols.address, "Season", "lat", "lng", F.inline(F.array(*segments)))
         .filter((F.col("rows") > 0) & (F.col("Review_Count") >= min_reviews))
         .select(

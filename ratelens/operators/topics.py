@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions.calendar import month_label
 from ratelens.functions.numeric import stable
 from ratelens.functions.parsing import day
-from ratelens.functions.text import HOTEL_TOPICS, joined_text, mentioned_words, sentiment, topics_of
+from ratelens.functions.text import HOTEL_TOPICS, joined_text, mentioned_words, sentiment, topics_of, words_of
 from ratelens.sources.schema import REVIEWS, ReviewColumns
 
 Dictionary = Mapping[str, Sequence[str]]
@@ -28,9 +28,14 @@ def entity_reviews(df: DataFrame, entity: str, limit: int = 50, cols: ReviewColu
 
 
 def review_text(df: DataFrame, cols: ReviewColumns = REVIEWS, keep: Sequence[str] = ()) -> DataFrame:
-    """Date, score and whole text of each review that has one (plus the ``keep`` columns)."""
-    text = joined_text(F.col(cols.positive_text), F.col(cols.negative_text))
-    return df.select(*keep, cols.date, cols.score, text.alias("Review_Text")).filter(F.length("Review_Text") > 0)
+    """Date, score and whole text of each review that has one (plus the ``keep`` columns).
+
+    The text is generated, not projected: a filter on a projected text would have
+    Spark build it once for the filter and once for the value.
+    """
+    text = F.nullif(joined_text(F.col(cols.positive_text), F.col(cols.negative_text)), F.lit(""))
+    generated = F.explode_outer(F.array(text)).alias("Review_Text")
+    return df.select(*keep, cols.date, cols.score, generated).filter(F.col("Review_Text").isNotNull())
 
 
 def derived_sentiment(df: DataFrame, cols: ReviewColumns = REVIEWS) -> DataFrame:
@@ -50,11 +55,21 @@ def topic_tagging(
     JVM-side: no explode of the words, no join and no shuffle. The topics of a
     large table are best written once and read by the reports below.
     """
-    enriched = derived_sentiment(review_text(df, cols, keep), cols)
+    return tagged(derived_sentiment(review_text(df, cols, keep), cols), "Review_Text", dictionary)
+
+
+def tagged(df: DataFrame, text: str, dictionary: Dictionary = HOTEL_TOPICS) -> DataFrame:
+    """``df`` with the topics of a text column as ``Topics``.
+
+    Where texts have to be joined to scores and dates, tag them first and drop
+    the text: an exchange then carries a few topic names instead of it.
+    """
+    mentioned = mentioned_words(F.col("__words"), dictionary)
     return (
-        enriched.withColumn("mentioned", mentioned_words(F.col("Review_Text"), dictionary))
-        .withColumn("Topics", topics_of(F.col("mentioned"), dictionary))
-        .drop("mentioned")
+        df.withColumn("__words", words_of(F.col(text)))
+        .withColumn("__mentioned", mentioned)
+        .withColumn("Topics", topics_of(F.col("__mentioned"), dictionary))
+        .drop("__words", "__mentioned")
     )
 
 

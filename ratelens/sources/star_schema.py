@@ -7,12 +7,13 @@ entity, the quantity is the score, the customer's region is the reviewer group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.functions.text import NO_NEGATIVE, NO_POSITIVE
+from ratelens.functions.text import NO_NEGATIVE, NO_POSITIVE, WHITESPACE
+from ratelens.operators.topics import derived_sentiment, tagged
 
 # Region names of two words, by their last word.
 STAR_REGIONS = {"EAST": "MIDDLE EAST"}
@@ -137,6 +138,31 @@ def star_reviews(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> Da
     return reviews.select(*[derived[name].alias(name) if name in derived else F.col(name) for name in columns])
 
 
+def document_topics(spark: SparkSession, sf_dir: str, dictionary: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Date, score, sentiment and topics of the documents that have a text.
+
+    As the reviews of :func:`document_reviews`, without the texts: these are
+    tagged where they are read, and only the topics are joined.
+    """
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    topics = tagged(documents, "text", dictionary).select(
+        "doc_id", "Topics", (F.length(F.btrim(F.col("text"), F.lit(WHITESPACE))) > 0).alias("written")
+    )
+    scored = (
+        topics.filter("written")
+        .join(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
+        .join(
+            table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate"), "doc_id", "left"
+        )
+        .select(
+            F.when(F.col("o_orderdate").isNotNull(), _text_date("o_orderdate")).alias("Review_Date"),
+            (4.0 + 5 * F.col("quality") - 3 * F.col("toxic")).alias("Reviewer_Score"),
+            "Topics",
+        )
+    )
+    return derived_sentiment(scored)
+
+
 def document_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as reviews of their source.
 
