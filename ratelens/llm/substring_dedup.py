@@ -9,15 +9,19 @@ from itertools import accumulate
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratelens.functions.checkpoints import checkpointed
 from ratelens.llm.common import free_name, id_field, map_texts, texts_of, written
 
-#: Keys that are sent to all executors (16 MB); more are shuffled.
-BROADCAST_KEYS = 1_000_000
+# A span with more than this share of the spans of one document in SAMPLED is hot.
+HOT_SHARE = 1 / 500
+SAMPLED = 16
+
+# Bytes of a digest: among 10**12 spans two different ones share one with a chance of 10**-5.
+DIGEST = 12
 
 # Distinct words that a task remembers: bounds memory, not results.
 WORDS_KEPT = 500_000
@@ -82,7 +86,7 @@ def spans_of(text: str, settings: Spans) -> list[tuple[bytes, int, int]]:
         if end > len(parts):
             break  # later spans would need more sentences too
         whole = "\n".join(part[2] for part in parts[at:end])
-        out.append((xxhash.xxh3_128_digest(whole), parts[at][0], parts[end - 1][1]))
+        out.append((xxhash.xxh3_128_digest(whole)[:DIGEST], parts[at][0], parts[end - 1][1]))
     return out
 
 
@@ -130,7 +134,7 @@ class Windows:
             places = [word.span() for word in _WORDS(text)]
         words = [word.lower() for word in words]
         return [
-            (xxhash.xxh3_128_digest(" ".join(words[at : at + self.size])), places[at][0], places[at + self.size - 1][1])
+            (xxhash.xxh3_128_digest(" ".join(words[at : at + self.size]))[:DIGEST], places[at][0], places[at + self.size - 1][1])
             for at in self.chosen(words)
         ]
 
@@ -164,17 +168,20 @@ def repeated_spans(
     first occurrences). Windows of words count where no spans of sentences cover
     them. Case and white space don't count. NULL ids, NULL and
     empty texts have no spans; rows that repeat an id and its text are one
-    document and cover nothing in one another.
+    document and cover nothing in one another. Other columns don't matter; an
+    empty table gives no rows.
 
-    Spans are digests of 16 bytes; short keys of them are counted first, with
-    partial counts in each task, and only those found twice are followed up.
+    Spans are digests of 12 bytes, shuffled once, by span. A span that has more
+    than ``HOT_SHARE`` of the spans of some documents chosen by their ids is not:
+    the first occurrences of those, fewer than 1 / ``HOT_SHARE``, are found by
+    partial aggregates and sent to all tasks.
     """
     schema = T.StructType(
         [
             T.StructField("span", T.BinaryType()),
             id_field(docs, id_col),
             T.StructField("start", T.IntegerType()),
-            T.StructField("end", T.IntegerType()),
+            T.StructField("size", T.IntegerType()),
             T.StructField("window", T.BooleanType()),
         ]
     )
@@ -185,28 +192,27 @@ def repeated_spans(
         def step(ids, texts):
             rows = []
             for i, text in zip(ids, texts, strict=True):
-                rows += [(span, i, a, b, False) for span, a, b in spans_of(text, settings)]
-                rows += [(span, i, a, b, True) for span, a, b in windows.spans_of(text)]
+                rows += [(span, i, a, b - a, False) for span, a, b in spans_of(text, settings)]
+                rows += [(span, i, a, b - a, True) for span, a, b in windows.spans_of(text)]
             return list(zip(*rows, strict=True)) if rows else [[]] * 5
 
         return step
 
     texts = texts_of(docs, id_col, text_col).filter("doc_id is not null and text is not null")
     spans = written(map_texts(texts, start, schema, "text"))
-    key = F.xxhash64("span").alias("key")
-    twice = checkpointed(spans.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select("key"))
-    if twice.count() <= BROADCAST_KEYS:
-        twice = F.broadcast(twice)
+    chosen = spans.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLED)) == 0).groupBy("span").agg(F.count("*").alias("n"))
+    limit = chosen.agg(F.sum("n") * F.lit(HOT_SHARE)).scalar()
+    hot = F.broadcast(checkpointed(chosen.filter((F.col("n") > 1) & (F.col("n") > limit)).select("span")))
     place = F.struct("doc_id", "start")
-    occurrences = spans.join(twice, key == twice["key"], "left_semi")
-    first = occurrences.groupBy("span").agg(F.min(place).alias("first"))
-    found = F.struct("start", "end", "window", F.col("first.doc_id").alias("source"))
-    of_doc = (
-        occurrences.join(first, "span")
-        .filter(place != F.col("first"))
-        .groupBy("doc_id")
-        .agg(F.collect_set(found).alias("found"))
+    in_order = Window.partitionBy("span").orderBy("doc_id", "start")
+    few = spans.join(hot, "span", "left_anti").withColumn("first", F.first(place).over(in_order))
+    many = spans.join(hot, "span", "left_semi")
+    firsts = F.broadcast(checkpointed(many.groupBy("span").agg(F.min(place).alias("first"))))
+    occurrences = few.unionByName(many.join(firsts, "span"))
+    found = F.struct(
+        "start", (F.col("start") + F.col("size")).alias("end"), "window", F.col("first.doc_id").alias("source")
     )
+    of_doc = occurrences.filter(place != F.col("first")).groupBy("doc_id").agg(F.collect_set(found).alias("found"))
     span_type = T.StructType([T.StructField(name, T.IntegerType()) for name in ("start", "end")])
     schema = T.StructType(
         [

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 import struct
 
@@ -281,6 +282,30 @@ def test_substring_dedup(spark):
     assert [(s["start"], s["end"]) for s in rows[0]["spans"]] == gone
 
 
+@pytest.mark.parametrize("share", [1.0, 0.0])
+def test_sentence_spans_equal_brute_force(spark, monkeypatch, share):
+    """Texts too short for a window of words: every run of sentences by its own characters. All spans hot, or none."""
+    monkeypatch.setattr(substring_dedup, "HOT_SHARE", share)
+    monkeypatch.setattr(substring_dedup, "SAMPLED", 1)
+    settings = substring_dedup.Spans(sentences=2, words=6)
+    rng = random.Random(7)
+    kinds = [" ".join(rng.choice("ab cd EF gh ij".split()) for _ in range(rng.randint(1, 6))) + rng.choice(".!?") for _ in range(9)]
+    texts = [rng.choice([" ", "\n"]).join(rng.choice(kinds) for _ in range(rng.randint(0, 8))) for _ in range(60)]
+    first, want = {}, {}
+    for doc_id, text in enumerate(texts):
+        parts = [m for m in re.finditer(r"[^.!?\n]+[.!?]*", text) if m[0].split()]
+        words = [m[0].lower().split() for m in parts]
+        assert sum(map(len, words)) < 50
+        for a in range(len(parts)):
+            ends = [b for b in range(a + 2, len(parts) + 1) if sum(map(len, words[a:b])) >= 6]
+            if ends:
+                place = (doc_id, parts[a].start())
+                if first.setdefault(str(words[a : ends[0]]), place) != place:
+                    want.setdefault(doc_id, set()).add((parts[a].start(), parts[ends[0] - 1].end()))
+    got = substring_dedup.repeated_spans(documents(spark, texts), settings).collect()
+    assert {r["doc_id"]: {tuple(x) for x in r["spans"]} for r in got} == want
+
+
 def test_substring_dedup_catches_passages_in_mid_sentence(spark):
     def words(kind, n):
         return " ".join(f"{kind}{i * 7919 % 1009}" for i in range(n))
