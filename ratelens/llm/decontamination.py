@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import xxhash
@@ -31,14 +32,20 @@ UNITS = frozenset(
     "percent mph kmh hz khz mhz ghz watt watts volt volts".split()
 )
 
-# Bits of the filter of benchmark windows (1 MB): its size is fixed, whatever
-# the benchmark's. It only spares rows the exact join that follows.
-FILTER_BITS = 23
+# The filter of benchmark windows has about 64 bits for each of them, and no
+# more than 2**27 (16 MB). It only spares rows the exact join that follows.
+FILTER_BITS = range(16, 28)
 
 # Distinct tokens that a task remembers: bounds memory, not results.
 TOKENS_KEPT = 500_000
 
+# An odd factor and its inverse modulo 2**64, for hashes of windows from running
+# sums, and what tells windows of the words themselves from templates.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
+_PLAIN = np.uint64(0xD6E8FEB86659FD93)
+
+PLACEHOLDERS = ("<num>", "<unit>", "<name>")
 
 
 @dataclass(frozen=True)
@@ -61,9 +68,9 @@ class Canonical:
         self._reset()
 
     def _reset(self):
-        self.known: dict[str, int] = {}
-        self.forms: list[tuple[str, str]] = []  # in a sentence, and at its start
-        self.hashes = np.empty((0, 2), np.uint64)
+        self.known = defaultdict(count().__next__)  # numbers of the tokens
+        self.names: list[str] = []
+        self.hashes = np.empty((0, 2), np.uint64)  # in a sentence, and at its start
         self.plain = np.empty(0, np.uint64)  # of the words themselves, in lower case
         self.slots = np.empty((0, 2), bool)
         self.marks = np.empty(0, bool)
@@ -78,27 +85,26 @@ class Canonical:
         return ("<name>" if token[0].isupper() else lower), lower
 
     def _grow(self) -> None:
-        new = list(islice(reversed(self.known), len(self.known) - len(self.forms)))[::-1]
+        new = list(islice(reversed(self.known), len(self.known) - len(self.names)))[::-1]
+        self.names += new
+        plain = np.array([xxhash.xxh64_intdigest(token.lower()) for token in new], np.uint64)
         forms = [self.forms_of(token) for token in new]
-        self.forms += forms
-        hashed = [[xxhash.xxh64_intdigest(form) for form in pair] for pair in forms]
-        slots = [[form.startswith("<") for form in pair] for pair in forms]
-        self.hashes = np.concatenate([self.hashes, np.array(hashed, np.uint64).reshape(-1, 2)])
-        plain = [xxhash.xxh64_intdigest(token.lower(), 1) for token in new]
-        self.plain = np.concatenate([self.plain, np.array(plain, np.uint64)])
-        self.slots = np.concatenate([self.slots, np.array(slots, bool).reshape(-1, 2)])
+        places = [np.array([PLACEHOLDERS.index(form) if form[0] == "<" else -1 for form in side]) for side in zip(*forms, strict=True)]
+        named = np.array([xxhash.xxh64_intdigest(form) for form in PLACEHOLDERS], np.uint64)
+        self.plain = np.concatenate([self.plain, plain])
+        self.hashes = np.concatenate([self.hashes, np.stack([np.where(at < 0, plain, named[at]) for at in places], axis=1)])
+        self.slots = np.concatenate([self.slots, np.stack([at >= 0 for at in places], axis=1)])
         self.marks = np.concatenate([self.marks, np.array([token in ".!?\n" for token in new], bool)])
 
     def learn(self, texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
         """Words and marks of each text, and their numbers; the arrays grow once for all texts."""
         if len(self.known) > TOKENS_KEPT:
             self._reset()
-        known, out = self.known, []
+        number, out = self.known.__getitem__, []
         for text in texts:
             surface = _TOKENS(text)
-            ids = np.fromiter((known.setdefault(token, len(known)) for token in surface), np.int64, len(surface))
-            out.append((surface, ids))
-        if len(known) > len(self.forms):
+            out.append((surface, np.fromiter(map(number, surface), np.int64, len(surface))))
+        if len(self.known) > len(self.names):
             self._grow()
         return iter(out)
 
@@ -111,26 +117,26 @@ class Canonical:
         return self.hashes[ids, starts], self.slots[ids, starts], ids, places, starts
 
     def template(self, ids: np.ndarray, starts: np.ndarray) -> str:
-        return " ".join(self.forms[i][s] for i, s in zip(ids.tolist(), starts.tolist(), strict=True))
+        return " ".join(self.forms_of(self.names[i])[s] for i, s in zip(ids.tolist(), starts.tolist(), strict=True))
+
 
+class WindowHashes:
+    """Hashes of all windows of a text, of any length, from one running sum."""
 
-def window_hashes(hashes: np.ndarray, slots: np.ndarray, size: int, literals: float) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the windows of a length that have enough literal tokens."""
-    count = len(hashes) - size + 1
-    if count < 1:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    total = np.full(count, size, np.uint64)
-    for shift in range(size):
-        total = (total * _BASE) ^ hashes[shift : shift + count]
-        total ^= total >> np.uint64(32)
-    at = np.flatnonzero(enough_literals(slots, size, literals))
-    return at, total[at]
+    powers = np.ones((2, 1), np.uint64)  # of the factor and its inverse
 
+    def __init__(self, hashes: np.ndarray):
+        if len(hashes) > self.powers.shape[1]:
+            factors = np.array([[_BASE], [_INVERSE]]) * np.ones((1, 2 * len(hashes)), np.uint64)
+            factors[:, 0] = 1
+            WindowHashes.powers = np.cumprod(factors, axis=1)
+        self.sums = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(hashes * self.powers[0, : len(hashes)], out=self.sums[1:])
 
-def enough_literals(slots: np.ndarray, size: int, literals: float) -> np.ndarray:
-    """Of each window whether it has enough literal tokens."""
-    placeholders = np.append(0, np.cumsum(slots))
-    return placeholders[size:] - placeholders[:-size] <= (1 - literals) * size
+    def of(self, size: int) -> np.ndarray:
+        total = (self.sums[size:] - self.sums[:-size]) * self.powers[1, : len(self.sums) - size]
+        total = (total ^ total >> np.uint64(32)) * _BASE
+        return total ^ total >> np.uint64(29)
 
 
 WINDOW = [
@@ -147,7 +153,7 @@ WINDOW = [
 COUNTS = ["windows", "all_windows"]
 
 
-def _windows(texts: DataFrame, sizes_of, settings: Templates, keep=None) -> DataFrame:
+def _windows(texts: DataFrame, sizes_of, settings: Templates, keep=None, filter_bits: int = 0) -> DataFrame:
     """Windows of texts, as templates and as their words; ``sizes_of`` gives their lengths by the number of tokens, ``keep`` the filter's bytes."""
     schema = T.StructType([texts.schema["doc_id"], *(T.StructField(name, T.IntegerType()) for name in COUNTS), *WINDOW])
 
@@ -159,20 +165,25 @@ def _windows(texts: DataFrame, sizes_of, settings: Templates, keep=None) -> Data
             out = [[] for _ in schema]
             for doc_id, (surface_of, numbers) in zip(ids, canonical.learn([text or "" for text in texts]), strict=True):
                 hashes, slots, names, places, starts = canonical.tokens(numbers)
-                for size in sizes_of(len(hashes)):
-                    if size > len(hashes):
-                        continue
-                    literal = enough_literals(slots, size, settings.literals)
-                    words = canonical.plain[names]
-                    template = window_hashes(hashes, slots, size, settings.literals)
+                sizes = [size for size in sizes_of(len(hashes)) if size <= len(hashes)]
+                if not sizes:
+                    continue
+                placeholders = np.append(0, np.cumsum(slots))
+                forms = WindowHashes(hashes), WindowHashes(canonical.plain[names])
+                for size in sizes:
+                    literal = placeholders[size:] - placeholders[:-size] <= (1 - settings.literals) * size
                     # shorter ones without literals can't be told from other text
-                    surface = window_hashes(words, slots, size, 0 if size == settings.window else settings.literals)
-                    counts = len(template[0]), len(surface[0])
-                    for plain, (at, found) in ((False, template), (True, surface)):
+                    any_words = np.ones_like(literal) if size == settings.window else literal
+                    counts = int(literal.sum()), int(any_words.sum())
+                    for plain, used in ((False, literal), (True, any_words)):
+                        found = forms[plain].of(size)
+                        if plain:
+                            found = found ^ _PLAIN
                         if bits is not None:
-                            bit = found >> np.uint64(64 - FILTER_BITS)
-                            passed = (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                            at, found = at[passed], found[passed]
+                            bit = found >> np.uint64(64 - filter_bits)
+                            used = used & ((bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1)
+                        at = np.flatnonzero(used)
+                        found = found[at]
                         for place, value in zip(at.tolist(), found.view(np.int64).tolist(), strict=True):
                             own = slice(place, place + size)
                             if plain:
@@ -215,10 +226,11 @@ def leaks(
     reparameterised (some slot has another value). Items shorter than a window
     are one window of their own length; such ones without literal words enough
     can't be told from other text and are never found. NULL ids,
-    NULL and empty texts take no part; repeated rows count as one document.
+    NULL and empty texts take no part; repeated rows count as one document;
+    other columns don't matter; an empty table on either side gives no rows.
 
     Documents are read once, where they lie: only windows that pass a filter
-    of fixed size are shuffled.
+    of bounded size are shuffled.
     """
     size = settings.window
     items = texts_of(benchmark, item_id_col, item_text_col).filter("doc_id is not null").distinct()
@@ -230,7 +242,8 @@ def leaks(
     )
     spark = docs.sparkSession
     lengths = sorted(row["length"] for row in item_windows.select("length").distinct().collect())  # at most window
-    bit = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    filter_bits = min(max((64 * item_windows.count()).bit_length(), FILTER_BITS[0]), FILTER_BITS[-1])
+    bit = F.shiftrightunsigned("hash", 64 - filter_bits)
     bytes_set = (
         item_windows.select(
             F.shiftright(bit, 3).cast("int").alias("byte"),
@@ -238,14 +251,14 @@ def leaks(
         )
         .groupBy("byte")
         .agg(F.bit_or("bit").alias("bits"))
-        .collect()  # 2**20 rows at most
+        .collect()  # a row for each byte of the filter at most
     )
-    bitmap = np.zeros(2 ** (FILTER_BITS - 3), np.uint8)
+    bitmap = np.zeros(2 ** (filter_bits - 3), np.uint8)
     for row in bytes_set:
         bitmap[row["byte"]] = row["bits"]
     keep = spark.sparkContext.broadcast(bitmap.tobytes())
     texts = texts_of(docs, id_col, text_col).filter("doc_id is not null and text is not null")
-    found = _windows(texts, lambda n: lengths, settings, keep).select("doc_id", "hash", "template", "at", "slots")
+    found = _windows(texts, lambda n: lengths, settings, keep, filter_bits).select("doc_id", "hash", "template", "at", "slots")
     matches = found.join(item_windows, ["hash", "template"]).withColumn("offset", F.col("at") - F.col("item_at"))
     matches = written(matches)
     occurrence = ["doc_id", "item_id", "offset"]
