@@ -97,7 +97,13 @@ def _generalised(paths: DataFrame, level: int, tree: Tree) -> DataFrame:
 
 
 def _merged(templates: DataFrame, level: int, tree: Tree) -> DataFrame:
-    """Branches that differ in this segment alone, with like blocked shares, share a wildcard."""
+    """Branches that differ in this segment alone, with like blocked shares, share a wildcard.
+
+    A branch with too few labels of its own joins if it has as many pages and
+    paths as its labelled siblings and no other blocked share; one without any
+    only if the same branch of other hosts has labels enough, with that share,
+    and two siblings or more agree.
+    """
     here = f"m{level}"
     names = [f"m{n}" for n in range(tree.depth)]
     rest = ["host", *(name for name in names if name != here)]
@@ -109,16 +115,27 @@ def _merged(templates: DataFrame, level: int, tree: Tree) -> DataFrame:
         F.avg("pages").alias("mean_pages"),
         F.avg("paths").alias("mean_paths"),
     )
-    error = F.sqrt(F.col("p") * (1 - F.col("p")) / F.col("labelled"))
-    excess = F.abs(F.col("blocked") / F.col("labelled") - F.col("p")) - tree.z * error
-    agreed = _matched(sure, pooled, rest).groupBy(rest).agg(F.max(excess).alias("excess")).filter("excess <= 0")
+
+    def excess(labelled: str, blocked: str) -> Column:
+        error = F.sqrt(F.col("p") * (1 - F.col("p")) / F.col(labelled))
+        return F.abs(F.col(blocked) / F.col(labelled) - F.col("p")) - tree.z * error
+
+    agreed = (
+        _matched(sure, pooled, rest)
+        .groupBy(rest)
+        .agg(F.max(excess("labelled", "blocked")).alias("excess"), F.count("*").alias("siblings"))
+        .filter("excess <= 0")
+    )
+    # the same branch on all hosts: the only evidence on one without labels of its own
+    elsewhere = branch.groupBy(names).agg(F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
     counts = reduce(
         Column.__and__,
         (F.abs(F.col(x) - F.col(f"mean_{x}")) <= tree.z * F.sqrt(f"mean_{x}") for x in ("pages", "paths")),
     )
-    own = F.when(F.col("labelled") > 0, excess <= 0).otherwise(True)
+    known = (F.col("all_labelled") >= tree.labels) & (excess("all_labelled", "all_blocked") <= 0) & (F.col("siblings") > 1)
+    own = F.when(F.col("labelled") > 0, excess("labelled", "blocked") <= 0).otherwise(known)
     like = (
-        _matched(_matched(branch, pooled, rest), agreed, rest)
+        _matched(_matched(_matched(branch, pooled, rest), agreed, rest), elsewhere, names)
         .filter((F.col("labelled") >= tree.labels) | (counts & own))
         .groupBy(rest)
         .agg(F.collect_set(here).alias("alike"))  # few: rare ones are wildcards by now

@@ -362,17 +362,27 @@ def test_url_tree_generalises_and_rejects(spark):
 
 
 def test_url_tree_decides_on_evidence_only(spark):
-    rules = [queries.Rule("hot.org/a/", "block"), queries.Rule("mix.org/fr/", "block")]
+    rules = [queries.Rule(f"{prefix}/", "block") for prefix in ("hot.org/a", "mix.org/fr", "mix.org/es", "other.org/en")]
     urls = [f"http://hot.org/a/{n}" for n in range(300)]  # the overall blocked share is 1
     urls += [f"http://clean.org/x/{n}" for n in range(30)]
-    urls += [f"http://mix.org/{lang}/page{n}" for lang, pages in (("fr", 40), ("en", 38), ("big", 400)) for n in range(pages)]
+    sizes = (("fr", 40), ("es", 41), ("en", 38), ("it", 40), ("big", 400))
+    urls += [f"http://mix.org/{lang}/page{n}" for lang, pages in sizes for n in range(pages)]
+    urls += [f"http://other.org/en/page{n}" for n in range(20)]
     rows = judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
     got = {(r["host"], r["path"].split("/")[1]): (r["template"], r["verdict"]) for r in rows}
     assert got["clean.org", "x"] == ("/x/<n>", "allow")
-    assert got["mix.org", "fr"] == got["mix.org", "en"] == ("/*/page<n>", "block")
+    assert got["mix.org", "fr"] == got["mix.org", "es"] == got["mix.org", "en"] == ("/*/page<n>", "block")
+    assert got["mix.org", "it"] == ("/it/page<n>", "allow")  # as many pages and paths, but no label anywhere
     assert got["mix.org", "big"] == ("/big/page<n>", "allow")
 
 
+def test_url_rules_of_equal_length_go_by_order(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/ab")], "page_id long, url string")
+    rules = [queries.Rule("a.com/", "block"), queries.Rule("com/ab", "allow")]
+    for order in (rules, rules[::-1]):
+        assert judge_urls(pages, order).first()["rule"] == order[0].prefix
+
+
 MESSY = [(1, "Some text here. " * 30, "en"), (1, "Some text here. " * 30, "en"), (2, None, None), (None, "x " * 60, "fr"), (3, "", "en"), (4, "word " * 200_000, "de"), (None, None, None)]
 
 
