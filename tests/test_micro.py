@@ -303,3 +303,25 @@ def test_tag_pattern_takes_typed_reviews(spark, micro):
     from ratelens.sources.files import normalize_reviews
 
     assert tag_pattern_coverage(normalize_reviews(micro)).collect() == tag_pattern_coverage(micro).collect()
+
+
+def test_places_are_pairs(spark):
+    """The coordinates of an entity come from one of its rows."""
+
+    rows = [("H", "1 St France", "1/1/2017", 8.0, 8.0, 10, "[' A ']", lat, lng) for lat, lng in (("10", "1"), ("5", "20"), ("11", "NA"), ("10", "0.5"))]
+    df = spark.createDataFrame(
+        rows,
+        "Hotel_Name string, Hotel_Address string, Review_Date string, Reviewer_Score double, Average_Score double, "
+        "Total_Number_of_Reviews int, Tags string, lat string, lng string",
+    ).withColumns({"Review_Total_Positive_Word_Counts": F.lit(1), "Review_Total_Negative_Word_Counts": F.lit(1)})
+    assert tuple(entities(df, {"lat": "lat", "lng": "lng"}).first()) == ("H", 10.0, 1.0)
+    assert tuple(top_hotels_by_nation(df).select("lat", "lng").first()) == (10.0, 1.0)
+    assert {tuple(r) for r in seasonal_preferences(df, 1).select("lat", "lng").collect()} == {(10.0, 1.0)}
+    assert tuple(segment_features(df).select("Lat", "Lng").first()) == (10.0, 1.0)
+
+
+def test_group_names_do_not_clash_with_features():
+    from ratelens.operators.clustering import group_columns
+
+    names = list(group_columns(["U.S.", "US", "lat", "Avg_Score"]).values())
+    assert len({name.lower() for name in names}) == 4 and not {"lat", "avg_score"} & {name.lower() for name in names}

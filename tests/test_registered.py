@@ -119,3 +119,31 @@ def test_shared_work_runs_once(spark, name):
     df.collect()
     shuffles = [line for line in plan(df).splitlines() if "ReusedExchange" in line and "hashpartitioning" in line]
     assert shuffles
+
+
+@pytest.mark.parametrize("name", ["negative_topic_frequency", "topic_trends", "topic_score_impact", "phrase_trends"])
+def test_texts_are_tagged_before_they_are_joined(spark, name):
+    """No exchange or sort has a text column."""
+    lines = plan(QUERIES[name](spark, "/root/testdata/sf0.01")).splitlines()
+    assert any("regexp" in line or "split(lower" in line for line in lines)
+    for at, line in enumerate(lines):
+        if re.search(r"Exchange|Sort \[", line):
+            below = next(own for own in lines[at + 1 :] if "Project" in own or "Scan" in own or "Aggregate" in own)
+            assert "text#" not in below.split("Scan")[0] or "text#" not in below.partition("[")[2].split("]")[0]
+
+
+def test_regression_keeps_no_reviews(spark, monkeypatch):
+    """Both sides come from one aggregate over one read."""
+    from ratelens.operators import regression
+
+    assert not hasattr(regression, "checkpointed")
+    seen = []
+    plain = regression.moments
+    monkeypatch.setattr(regression, "moments", lambda rows, names, side: seen.append(plan(rows.groupBy(side).count())) or plain(rows, names, side))
+    entry.regression(spark, SMALL)
+    assert len(seen) == 1 and seen[0].count("l_quantity") > 0
+
+
+def test_text_is_built_once(spark):
+    text = plan(QUERIES["review_text"](spark, SMALL))
+    assert text.count("concat_ws( ,") == 1
