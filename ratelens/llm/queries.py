@@ -10,7 +10,7 @@ from ratelens.llm.bpe import bpe_encode
 from ratelens.llm.common import table
 from ratelens.llm.decontamination import leaks
 from ratelens.llm.divergence import source_divergence
-from ratelens.llm.licenses import LICENSES, SPELLINGS, find_licenses, text_digests
+from ratelens.llm.licenses import LICENSES, SPELLINGS, find_licenses
 from ratelens.llm.line_dedup import Lines, repeated_lines
 from ratelens.llm.neighbours import nearest_neighbours
 from ratelens.llm.prefix_trie import prefix_trie
@@ -125,28 +125,51 @@ def queries():
 
 
 def _license_sql() -> str:
-    known = ", ".join(f"('{digest}', '{name}')" for digest, name in sorted({(text_digests(t)[0].hex(), n) for n, t in LICENSES}))
+    quoted = [(text.replace("'", "''"), name) for name, text in LICENSES]
+    known = ", ".join(f"('{text}', '{name}')" for text, name in quoted)
     keys = ", ".join(f"'{word}'" for word in SPELLINGS)
     values = ", ".join(f"'{word}'" for word in SPELLINGS.values())
     return f"""
-WITH known(digest, license) AS (VALUES {known}),
+WITH known_texts(text, license) AS (VALUES {known}),
 spelling AS (SELECT map([{keys}], [{values}]) AS m),
+known_words AS (
+    SELECT license, list_transform(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), lambda w: coalesce(m[w], w)) AS w
+    FROM known_texts, spelling
+),
+known AS (SELECT DISTINCT md5(array_to_string(w, ' ')) AS digest, license, w[1] AS first_word, len(w) AS size FROM known_words),
+sizes AS (SELECT DISTINCT first_word, size FROM known),
 lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
     FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
 ),
-words AS (
+every AS (
     SELECT doc_id, place, list_transform(regexp_extract_all(lower(line), '[\\p{{L}}\\p{{N}}]+'), lambda w: coalesce(m[w], w)) AS w
-    FROM lines, spelling WHERE NOT regexp_matches(line, '^\\s*(?i:copyright\\b|\\(c\\)|©)')
+    FROM lines, spelling
+    WHERE NOT regexp_matches(line, '^\\s*(?i:copyright\\b|\\(c\\)|©)')
+        OR regexp_matches(line, '^\\s*(?i:copyright\\s+(notice|holders?|owners?)\\b)')
+),
+words AS (
+    SELECT *, sum(len(w)) OVER (PARTITION BY doc_id ORDER BY place) AS upto FROM every WHERE len(w) > 0
+),
+ends AS (
+    SELECT a.doc_id, a.place, b.place AS last_place
+    FROM words a JOIN sizes s ON s.first_word = a.w[1]
+    JOIN words b ON b.doc_id = a.doc_id AND b.upto = a.upto - len(a.w) + s.size AND b.place > a.place
+),
+runs AS (
+    SELECT e.doc_id, e.place, md5(string_agg(array_to_string(l.w, ' '), ' ' ORDER BY l.place)) AS digest
+    FROM ends e JOIN words l ON l.doc_id = e.doc_id AND l.place BETWEEN e.place AND e.last_place
+    GROUP BY e.doc_id, e.place, e.last_place
 ),
 units AS (
-    SELECT doc_id, place, md5(array_to_string(w, ' ')) AS digest FROM words WHERE len(w) > 0
-    UNION ALL
-    SELECT doc_id, 0, md5(string_agg(array_to_string(w, ' '), ' ' ORDER BY place)) FROM words WHERE len(w) > 0 GROUP BY doc_id
+    SELECT doc_id, 'line' AS kind, place, md5(array_to_string(w, ' ')) AS digest FROM words
+    UNION ALL SELECT doc_id, 'run', place, digest FROM runs
+    UNION ALL SELECT doc_id, 'whole', 0, md5(string_agg(array_to_string(w, ' '), ' ' ORDER BY place)) FROM words GROUP BY doc_id
 )
 SELECT doc_id,
-    string_agg(DISTINCT license, ',' ORDER BY license) FILTER (WHERE place = 0) AS whole_license,
-    count(DISTINCT place) FILTER (WHERE place > 0) AS license_lines,
+    string_agg(DISTINCT license, ',' ORDER BY license) FILTER (WHERE kind = 'whole') AS whole_license,
+    count(DISTINCT place) FILTER (WHERE kind = 'line') AS license_lines,
+    count(DISTINCT place) FILTER (WHERE kind = 'run') AS license_runs,
     string_agg(DISTINCT license, ',' ORDER BY license) AS licenses
 FROM units JOIN known USING (digest) GROUP BY doc_id
 """

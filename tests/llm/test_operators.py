@@ -5,7 +5,9 @@ import hashlib
 import random
 import re
 import struct
+import textwrap
 
+import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
@@ -329,17 +331,44 @@ def test_substring_dedup_catches_passages_in_mid_sentence(spark):
         assert whole & {" ".join(part[at : at + 30]) for at in windows.chosen(part)}
 
 
+def wrapped(text, width=60):
+    return "\n".join(textwrap.wrap(text, width))
+
+
+def license_texts():
+    whole = {name: text for name, titles, text in licenses.TEXTS if titles}
+    return [
+        f"Copyright 2020 X\n{whole['MIT'].upper().replace('LICENSE', 'LICENCE')}",
+        "words\nLicenced under CC-BY-NC 4.0\nmore",
+        "none",
+        f"The MIT License (MIT)\n\nCopyright (c) 2024 Someone\n\n{wrapped(whole['MIT'])}\n",
+        f"# My project\n\nSome words.\n\n## License\n\nCopyright (c) 2024 Someone\n\n{wrapped(whole['MIT'])}\n\nThe end.",
+        f"ISC License\n\n{wrapped(whole['ISC'], 40)}",
+        wrapped(whole["BSD-3-Clause"]).replace("* ", "- "),
+        f"{whole['ISC']} More.",
+        "\n".join([wrapped(whole["Zlib"])] * 2),
+        wrapped(whole["MIT"]).replace("IN NO EVENT", "IN ANY EVENT"),
+        "This\n" * 200,
+    ]
+
+
 def test_licenses(spark):
-    name, text = licenses.LICENSES[4]
-    texts = [f"Copyright 2020 X\n{text.upper().replace('LICENSE', 'LICENCE')}", "words\nLicenced under CC-BY-NC 4.0\nmore", "none"]
-    rows = {r["doc_id"]: r for r in licenses.find_licenses(documents(spark, texts)).collect()}
-    assert rows[0]["whole_license"] == name and rows[1]["whole_license"] is None
+    rows = {r["doc_id"]: r for r in licenses.find_licenses(documents(spark, license_texts())).collect()}
+    assert {n: r["whole_license"] for n, r in rows.items()} == {
+        0: "MIT", 1: None, 3: "MIT", 4: None, 5: "ISC", 6: "BSD-3-Clause", 8: None,
+    }
     assert rows[1]["licenses"] == "CC-BY-NC-4.0" and rows[1]["license_lines"] == 1 and 2 not in rows
+    assert (rows[4]["licenses"], rows[4]["license_runs"]) == ("MIT", 1)
+    assert (rows[8]["licenses"], rows[8]["license_runs"]) == ("Zlib", 2)
 
 
-def test_license_sql(spark):
-    sf = "/root/testdata/sf0.01"
-    assert difference(queries.license_scan(spark, sf), duck(sf), queries.oracle_sql()["op9_license_scan"]) is None
+def test_license_sql(spark, tmp_path):
+    sf, sql = "/root/testdata/sf0.01", queries.oracle_sql()["op9_license_scan"]
+    assert difference(queries.license_scan(spark, sf), duck(sf), sql) is None
+    documents(spark, license_texts()).write.parquet(str(tmp_path / "documents.parquet"))
+    connection = duckdb.connect()
+    connection.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert difference(queries.license_scan(spark, str(tmp_path)), connection, sql) is None
 
 
 def test_url_filter(spark):
