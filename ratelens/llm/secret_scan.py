@@ -95,7 +95,7 @@ def scan_history(
     """
     named = texts_of(history, path_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     named = named.withColumn("blob", text_key(F.col("text")))
-    blobs = named.select("blob", "text")
+    blobs = named.select("blob", "text").distinct()
     if ledger is not None:
         ledger = ledger.filter(F.col("rule_version") == rule_version)
         blobs = blobs.join(ledger.select("blob"), "blob", "left_anti")
@@ -105,7 +105,7 @@ def scan_history(
         scan = scanner(rules)
         return lambda blobs, texts: (blobs, [scan(text) for text in texts])
 
-    fresh = written(map_texts(blobs.distinct(), start, schema, "text"))  # findings and ledger come from one scan
+    fresh = written(map_texts(blobs, start, schema, "text"))  # findings and ledger come from one scan
     scanned = fresh if ledger is None else fresh.unionByName(ledger.select("blob", "findings"))
     # Blobs without findings need no row: the join is with those few that have some.
     hits = scanned.filter(F.size("findings") > 0).withColumnRenamed("findings", "found")
