@@ -50,7 +50,8 @@ def interval_join(
     intervals go to levels of wider bins, so that each is copied a few times
     only, and a point is copied once for each level that occurs. A pair meets in
     one bin. Bins that hold more than ``share`` of all points are parted: their
-    points are dealt out at random, their intervals copied to each part.
+    points are dealt out by a hash of the row (the same in a repeated task, as a
+    random number may not be), their intervals copied to each part.
     """
     clash = set(points.columns) & set(intervals.columns) - set(keys)
     if clash:
@@ -82,8 +83,9 @@ def interval_join(
     counts = placed.groupBy(*own).agg(F.count("*").alias("__n"))
     limit = counts.agg((F.sum("__n") * F.lit(share)).alias("limit")).scalar()
     crowded = F.broadcast(counts.filter(F.col("__n") > limit).select(*own, F.lit(True).alias("__crowded")))
+    hashed = [F.col(f"`{f.name}`") for f in points.schema if not isinstance(f.dataType, T.MapType)]
     placed = placed.join(crowded, own, "left").withColumn(
-        "__part", F.when(F.col("__crowded"), F.floor(F.rand(7) * parts)).otherwise(0).cast("int")
+        "__part", F.when(F.col("__crowded"), F.pmod(F.xxhash64(*hashed), F.lit(parts))).otherwise(0).cast("int")
     )
     binned = binned.join(crowded, own, "left").withColumn(
         "__part", F.explode(F.when(F.col("__crowded"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0))))
