@@ -25,6 +25,13 @@ BROADCAST_KEYS = 1_000_000
 INDEXED = 16
 LEVELS = 2
 
+#: Lines that still crowd a key are compared with a consensus of theirs, made of
+#: so many parts, and then with those that differ from it near the same place:
+#: in bins of so many characters, with so many characters beside a difference.
+PARTS = 32
+BIN = 16
+BESIDE = 2
+
 
 @dataclass(frozen=True)
 class Lines:
@@ -188,7 +195,8 @@ def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
 
     First only keys are counted, with partial aggregates: those under which two
     lines meet are few. Then the lines of these follow. Under a key with many
-    indexed lines another segment has to match, and so on.
+    indexed lines another segment has to match, and so on; what crowds a key
+    after that goes by where it differs from the usual line.
     """
     rows = refined(whole_lines(lines.select("line"), edits), edits)
     name = F.xxhash64("line")
@@ -206,18 +214,121 @@ def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
     for level in range(LEVELS + 1):
         crowded = rows.filter("indexed").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > INDEXED).select("key")
         crowded = checkpointed(crowded)
-        last = level == LEVELS or crowded.isEmpty()
+        last = crowded.isEmpty()
         few = rows if last else rows.join(crowded, "key", "left_anti")
         a = few.filter("indexed").select("key", F.col("line").alias("a"))
         b = few.filter("not indexed").select("key", F.col("line").alias("b"))
-        found.append(a.join(b, "key").filter(F.col("a") != F.col("b")).filter(shares_parts(F.col("a"), F.col("b"), edits)))
+        found.append(a.join(b, "key").filter(F.col("a") != F.col("b")).filter(shares_parts(F.col("a"), F.col("b"), edits)).select("a", "b"))
         if last:
             break
+        if level == LEVELS:
+            found.append(crowded_pairs(rows.join(crowded, "key", "left_semi").select("key", "line").distinct(), edits))
+            break
         rows = written(refined(widened(rows.join(crowded, "key", "left_semi")), edits).distinct())
     pairs = reduce(DataFrame.unionByName, found)
     return pairs.select(F.least("a", "b").alias("line_a"), F.greatest("a", "b").alias("line_b")).distinct()
 
 
+def consensus(lines: DataFrame) -> DataFrame:
+    """(key, pivot): of the lines of a key that have its most frequent length, the most frequent parts, joined."""
+    lengths = lines.groupBy("key", F.char_length("line").alias("n")).agg(F.count("*").alias("many"))
+    usual = lengths.groupBy("key").agg(F.max(F.struct("many", "n"))["n"].alias("n"))
+    own = lines.join(usual, "key").filter(F.char_length("line") == F.col("n"))
+    start = lambda at: F.floor(at * F.col("n") / PARTS).cast("int")
+    piece = lambda at: F.substring("line", start(at) + 1, start(at + 1) - start(at))
+    parts = own.select("key", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), piece)).alias("at", "part"))
+    often = parts.groupBy("key", "at", "part").agg(F.count("*").alias("many"))
+    best = often.groupBy("key", "at").agg(F.max(F.struct("many", "part"))["part"].alias("part"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda x: x["part"])
+    return best.groupBy("key").agg(F.array_join(ordered, "").alias("pivot"))
+
+
+def shared_start(a: Column, b: Column) -> Column:
+    """Number of characters that two strings begin with alike (found by halving; less for those of over a million)."""
+    most = F.least(F.char_length(a), F.char_length(b))
+    steps = F.array(*(F.lit(1 << n) for n in range(19, -1, -1)))
+
+    def longer(known: Column, step: Column) -> Column:
+        size = known + step
+        return F.when((size <= most) & (F.substring(a, F.lit(1), size) == F.substring(b, F.lit(1), size)), size).otherwise(known)
+
+    return F.aggregate(steps, F.lit(0), longer)
+
+
+def _stands_in(window: Column, text: Column, edits: int) -> Column:
+    """Whether one of edits + 1 pieces of a window stands in a text, as it must if the window does, within the edits."""
+    size = F.char_length(window)
+    held = F.lit(False)
+    for number in range(1, edits + 2):
+        start, length = segment(size, F.lit(edits + 1), F.lit(number))
+        held = held | F.contains(text, F.substring(window, start, length))
+    return held
+
+
+def crowded_pairs(lines: DataFrame, edits: int) -> DataFrame:
+    """(a, b) of the lines of a key that may be near, without comparing all with all.
+
+    Each line is compared with the key's consensus: they are alike up to the
+    place ``first`` and, from their ends, behind ``last`` (places in the
+    consensus). Take the part of a line between the two, with a few characters
+    beside it. In another line that is like the consensus there, a near line's
+    part must stand within the edits; so must the consensus' part in the line.
+    Where neither does, a near line differs from the consensus near this place as
+    well, and is found in a bin of places. Lines of which the part does stand in
+    the consensus, as of those a letter or two away, are compared with one another.
+    """
+    c = F.col
+    own = lines.join(consensus(lines), "key")
+    size, whole = F.char_length("line"), F.char_length("pivot")
+    own = own.withColumns({"size": size, "whole": whole, "first": shared_start(c("line"), c("pivot"))})
+    behind = shared_start(F.reverse("line"), F.reverse("pivot"))
+    own = own.withColumn("behind", F.least(behind, F.least("size", "whole") - c("first")))
+    own = own.withColumn("last", c("whole") - c("behind"))
+    longer = c("size") - c("whole")
+    slack = F.abs(longer) + edits
+
+    def cut(text: str, start: Column, end: Column) -> Column:
+        start = F.greatest(start, F.lit(0))
+        return F.substring(text, start + 1, F.greatest(end - start, F.lit(0)))
+
+    start = F.greatest(c("first") - BESIDE, F.lit(0))
+    line_end = F.least(c("size") - c("behind") + BESIDE, c("size"))
+    pivot_end = F.least(c("last") + BESIDE, c("whole"))
+    apart = ~_stands_in(cut("line", start, line_end), cut("pivot", start - slack, line_end + slack), edits) | ~_stands_in(
+        cut("pivot", start, pivot_end), cut("line", start - slack, pivot_end + slack), edits
+    )
+    placed = own.select(
+        "key",
+        "line",
+        "first",
+        "last",
+        apart.alias("apart"),
+        F.least(start - longer - edits, start).alias("low"),
+        F.greatest(line_end + edits, pivot_end).alias("high"),
+    )
+    placed = written(placed)
+
+    def bins(low: Column, high: Column) -> Column:
+        return F.sequence(F.floor(F.greatest(low, F.lit(0)) / BIN), F.floor(F.greatest(low, high, F.lit(0)) / BIN))
+
+    names = ["line", "first", "last", "low", "high", "apart"]
+    asking = placed.filter("apart").select(
+        "key", *(c(name).alias(f"x_{name}") for name in names), F.explode(bins(c("low"), c("high"))).alias("bin")
+    )
+    held = placed.select("key", *(c(name).alias(f"y_{name}") for name in names), F.explode(bins(c("first"), c("last"))).alias("bin"))
+    first_bin = F.greatest(*(F.floor(F.greatest(c(low), F.lit(0)) / BIN) for low in ("x_low", "y_first")))
+    meets = (c("y_first") < c("x_high")) & (c("y_last") > c("x_low"))
+    mutual = ~c("y_apart") | ((c("x_first") < c("y_high")) & (c("x_last") > c("y_low")) & (c("x_line") < c("y_line")))
+    near = shares_parts(c("x_line"), c("y_line"), edits)
+    some = asking.join(held, ["key", "bin"]).filter(
+        (c("bin") == first_bin) & (c("x_line") != c("y_line")) & meets & mutual & near
+    )
+    plain = placed.filter("not apart").select("key", "line")
+    a, b = plain.select("key", c("line").alias("x_line")), plain.select("key", c("line").alias("y_line"))
+    others = a.join(b, "key").filter((c("x_line") < c("y_line")) & near)
+    return some.select("x_line", "y_line").unionByName(others.select("x_line", "y_line")).toDF("a", "b").distinct()
+
+
 def shares_parts(a: Column, b: Column, edits: int) -> Column:
     """Whether enough parts of one string stand somewhere in the other: each edit spoils one of them."""
     count = 4 * (edits + 1)

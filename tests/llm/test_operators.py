@@ -155,6 +155,30 @@ def test_line_dedup_equals_brute_force(spark):
         assert kept[i] == "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone.get(i, []))
 
 
+@pytest.mark.parametrize("k", [1, 2])
+def test_a_family_of_near_lines_loses_no_link(spark, k, monkeypatch):
+    """Lines that crowd their keys: a few letters or words away from one of them, in one place or more, or long repeats."""
+    rng = random.Random(k)
+    base = " ".join("".join(rng.choice("abcdé") for _ in range(rng.randint(2, 8))) for _ in range(20))
+    lines = {base, "ab" * 60, "ab" * 59 + "a", "b" + "ab" * 59, "ab" * 61}
+    while len(lines) < 200:
+        line = base if rng.random() < 0.9 else "ab" * 60
+        for _ in range(rng.choice([1, 1, 1, 2, 3])):
+            at = rng.randrange(len(line) + 1) if rng.random() < 0.7 else rng.choice([0, 5, 60, len(line)])
+            new = "".join(rng.choice("abxy ") for _ in range(rng.choice([0, 1, 1, 2, 3, 6])))
+            line = line[:at] + new + line[at + rng.choice([0, 0, 1, 1, 2, 3, 6]) :]
+        lines.add(line)
+    lines = sorted(lines)
+    near = {(a, b) for n, a in enumerate(lines) for b in lines[n + 1 :] if abs(len(a) - len(b)) <= k and edits(a, b) <= k}
+    table = spark.createDataFrame([("x", line) for line in lines], "key string, line string")
+    found = {tuple(sorted(pair)) for pair in line_dedup.crowded_pairs(table, k).collect()}
+    assert near <= found and len(near) > 30
+    assert len(found) < len(lines) ** 2 / 6
+    monkeypatch.setattr(line_dedup, "LEVELS", 0)
+    pairs = line_dedup.near_pairs(table.select("line"), line_dedup.Lines(edits=k)).collect()
+    assert {tuple(sorted(pair)) for pair in pairs} == {(a, b) for a, b in near}
+
+
 def test_short_lines_go_as_exact_copies(spark):
     import corpus_pipeline
 
