@@ -19,6 +19,7 @@ from ratelens.llm.common import free_name, id_field, map_texts, texts_of, writte
 # A span with more than this share of the spans of one document in SAMPLED is hot.
 HOT_SHARE = 1 / 500
 SAMPLED = 16
+PARTS = 64
 
 # Bytes of a digest: among 10**12 spans two different ones share one with a chance of 10**-5.
 DIGEST = 12
@@ -172,9 +173,9 @@ def repeated_spans(
     empty table gives no rows.
 
     Spans are digests of 12 bytes, shuffled once, by span. A span that has more
-    than ``HOT_SHARE`` of the spans of some documents chosen by their ids is not:
-    the first occurrences of those, fewer than 1 / ``HOT_SHARE``, are found by
-    partial aggregates and sent to all tasks.
+    than ``HOT_SHARE`` of the spans of some documents chosen by their ids is dealt
+    out to ``PARTS`` tasks: the first occurrences of those, fewer than
+    1 / ``HOT_SHARE``, are found by partial aggregates and sent to all tasks.
     """
     schema = T.StructType(
         [
@@ -202,13 +203,15 @@ def repeated_spans(
     spans = written(map_texts(texts, start, schema, "text"))
     chosen = spans.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLED)) == 0).groupBy("span").agg(F.count("*").alias("n"))
     limit = chosen.agg(F.sum("n") * F.lit(HOT_SHARE)).scalar()
-    hot = F.broadcast(checkpointed(chosen.filter((F.col("n") > 1) & (F.col("n") > limit)).select("span")))
+    hot = [row["span"] for row in chosen.filter((F.col("n") > 1) & (F.col("n") > limit)).select("span").collect()]
     place = F.struct("doc_id", "start")
-    in_order = Window.partitionBy("span").orderBy("doc_id", "start")
-    few = spans.join(hot, "span", "left_anti").withColumn("first", F.first(place).over(in_order))
-    many = spans.join(hot, "span", "left_semi")
-    firsts = F.broadcast(checkpointed(many.groupBy("span").agg(F.min(place).alias("first"))))
-    occurrences = few.unionByName(many.join(firsts, "span"))
+    is_hot = F.col("span").isin(hot) if hot else F.lit(False)
+    firsts = checkpointed(spans.filter(is_hot).groupBy("span").agg(F.min(place).alias("hot_first")))
+    marked = spans.join(F.broadcast(firsts), "span", "left")
+    part = F.when(F.col("hot_first").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))).otherwise(0).alias("part")
+    in_order = Window.partitionBy("span", "part").orderBy("doc_id", "start")
+    first = F.coalesce("hot_first", F.first(place).over(in_order)).alias("first")
+    occurrences = marked.select("*", part).select("doc_id", "start", "size", "window", first)
     found = F.struct(
         "start", (F.col("start") + F.col("size")).alias("end"), "window", F.col("first.doc_id").alias("source")
     )

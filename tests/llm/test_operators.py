@@ -436,6 +436,19 @@ def test_url_rules_of_equal_length_go_by_order(spark):
         assert judge_urls(pages, order).first()["rule"] == order[0].prefix
 
 
+def test_own_columns_of_documents_never_clash(spark):
+    """Columns under any name that a stage might use for itself."""
+    names = ["id", "id_", "__id", "spans", "__spans", "repeated", "Repeated_", "line", "at", "key"]
+    line = "The same line of words stands in both of these documents here. And another sentence follows it with some words more. " * 2
+    rows = [(n, line, *(f"{name}{n}" for name in names)) for n in range(2)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    for stage in (substring_dedup.drop_repeats, line_dedup.drop_repeated_lines):
+        kept = {r["doc_id"]: r for r in stage(docs).collect()}
+        assert stage(docs).columns == docs.columns
+        assert kept[0]["text"].strip() and not kept[1]["text"].strip()
+        assert [kept[1][name] for name in names] == [f"{name}1" for name in names]
+
+
 MESSY = [(1, "Some text here. " * 30, "en"), (1, "Some text here. " * 30, "en"), (2, None, None), (None, "x " * 60, "fr"), (3, "", "en"), (4, "word " * 200_000, "de"), (None, None, None)]
 
 
