@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelens.llm.common import map_texts, text_key, texts_of, written
+from ratelens.llm.common import map_texts, texts_of, written
 
 
 @dataclass(frozen=True)
@@ -88,14 +88,16 @@ def scan_history(
     of ``history`` (doc_id, blob, findings: array of kind, start, end in code
     points, by start, then in the order of the rules) and the ledger's new rows.
 
-    Contents are made distinct within tasks before they are shuffled, so a
-    blob that a third of all rows share arrives once from each task. A NULL
-    text is an empty blob; a repeated row repeats its result; NULL paths stay;
-    other columns don't matter; an empty history gives no rows.
+    A blob is named by its SHA-256, which alone decides. Contents are made
+    distinct by it within tasks before they are shuffled, so a blob that a third
+    of all rows share arrives once from each task, and by it they meet the
+    ledger where that shuffle put them. A NULL text is an empty blob; a repeated
+    row repeats its result; NULL paths stay; other columns don't matter; an
+    empty history gives no rows.
     """
     named = texts_of(history, path_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    named = named.withColumn("blob", text_key(F.col("text")))
-    blobs = named.select("blob", "text").distinct()
+    named = named.withColumn("blob", F.unhex(F.sha2("text", 256)))
+    blobs = named.select("blob", "text").dropDuplicates(["blob"])  # by the key of the join: one shuffle serves both
     if ledger is not None:
         ledger = ledger.filter(F.col("rule_version") == rule_version)
         blobs = blobs.join(ledger.select("blob"), "blob", "left_anti")

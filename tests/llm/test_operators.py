@@ -218,6 +218,24 @@ def test_secret_scan(spark):
     assert secret_scan.scan_history(documents(spark, texts), "2", ledger)[1].count() == 5  # new rules, new scan
 
 
+def test_secret_scan_shuffles_texts_once(spark, monkeypatch):
+    """Contents are dealt out once, where the ledger's blobs meet them."""
+    scans, written = [], secret_scan.written
+    monkeypatch.setattr(secret_scan, "written", lambda df: scans.append(df) or written(df))
+    texts = ["token = abcdefghijkl", "nothing", "token = abcdefghijkl", None]
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the ledger were large
+    try:
+        _, ledger = secret_scan.scan_history(documents(spark, texts[:2]), "1")
+        findings, fresh = secret_scan.scan_history(documents(spark, [*texts, "secret: 0123456789ab"]), "1", ledger)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in scans]
+        assert {r["doc_id"]: len(r["findings"]) for r in findings.collect()} == {0: 1, 1: 0, 2: 1, 3: 0, 4: 1}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert fresh.count() == 2  # the empty blob and the new one
+    assert [plan.count("Exchange hashpartitioning") for plan in plans] == [1, 2]  # the texts; them and the ledger's blobs
+
+
 def test_quality(spark):
     def brute(text):
         words = re.findall(r"[^\x20\x09-\x0D]+", text)
