@@ -11,6 +11,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ratelens.functions.checkpoints import discard
 from ratelens.llm.bpe import bpe_encode
 from ratelens.llm.common import table, written
 from ratelens.llm.decontamination import drop_contaminated
@@ -57,9 +58,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
             docs = written(docs)
+            if before is not None:  # only this stage has read it
+                discard(before)
+            before = docs
     return docs

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ratelens.functions.checkpoints import checkpoint_folder
+from ratelens.functions.checkpoints import stored
+
+#: Bits of a filter of keys, by their number: up to 32 MB are sent to all executors.
+FILTER_BITS = range(18, 29)
 
 # Characters of text that Python takes up at once; one longer text is taken alone.
 SLICE_CHARS = 2_000_000
@@ -80,12 +82,34 @@ def text_key(text) -> Any:
     return F.unhex(F.md5(text))
 
 
+def may_be_in(df: DataFrame, key: Column, keys: DataFrame, name: str) -> DataFrame:
+    """``df`` with a flag ``name``: false only if its key is none of ``keys``, a table of one column of few rows for their filter.
+
+    The filter has a bit for each value of a hash, about 64 for each key up to
+    its greatest size, so that most rows whose key isn't among them are known
+    without a shuffle.
+    """
+    bits = min(max((64 * keys.count()).bit_length(), FILTER_BITS[0]), FILTER_BITS[-1])
+
+    def bit(value: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(value), 64 - bits)
+
+    own, of_key = bit(key), bit(F.col(keys.columns[0]))
+    part, bitmap = free_name("part", df), free_name("bitmap", df)
+    parts = keys.groupBy(F.bitmap_bucket_number(of_key).alias(part)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(of_key)).alias(bitmap)
+    )
+    at = F.bitmap_bit_position(own)
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    placed = df.join(F.broadcast(parts), F.bitmap_bucket_number(own) == F.col(part), "left")
+    return placed.select(*(F.col(f"`{column}`") for column in df.columns), held.alias(name))
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the checkpoint folder of the session: cuts the lineage, packed more tightly than a checkpoint.
 
     A folder of its own for each call; like checkpoints, they are left to the
     cluster's cleaning of that folder.
     """
-    folder = f"{checkpoint_folder(df.sparkSession)}/{uuid.uuid4()}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return stored(df)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions.checkpoints import checkpointed
-from ratelens.llm.common import free_name, text_key, texts_of, written
+from ratelens.llm.common import free_name, may_be_in, text_key, texts_of, written
 
 #: Keys that are sent to all executors (16 MB); more are shuffled.
 BROADCAST_KEYS = 1_000_000
@@ -397,13 +397,16 @@ def repeated_lines(
 def drop_repeated_lines(docs: DataFrame, settings: Lines = Lines()) -> DataFrame:
     """All rows and columns of ``docs`` (doc_id, text, others), texts without their repeated lines.
 
-    A text may become empty; its row stays.
+    A text may become empty; its row stays. Only texts that may lose lines are
+    shuffled.
     """
     found = repeated_lines(docs, settings).filter(F.size("repeated") > 0)
-    of_id, gone = free_name("id", docs), free_name("repeated", docs)
-    found = found.select(F.col("doc_id").alias(of_id), F.col("repeated").alias(gone))
+    of_id, gone, may = free_name("id", docs), free_name("repeated", docs), free_name("may", docs)
+    found = written(found.select(F.col("doc_id").alias(of_id), F.col("repeated").alias(gone)))
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, at: ~F.array_contains(gone, at)), "\n")
     text = F.when(F.col(gone).isNull() | F.col("text").isNull(), F.col("text")).otherwise(kept)
-    return docs.join(found, F.col("doc_id") == F.col(of_id), "left").select(
+    flagged = may_be_in(docs, F.col("doc_id"), found.select(of_id), may)
+    changed = flagged.filter(F.col(may)).join(found, F.col("doc_id") == F.col(of_id), "left").select(
         *(text.alias(name) if name == "text" else F.col(f"`{name}`") for name in docs.columns)
     )
+    return flagged.filter(~F.col(may)).drop(may).unionByName(changed)
