@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ratelens.functions.checkpoints import checkpointed
 from ratelens.llm.common import free_name, may_be_in, text_key, texts_of, written
 
-#: Keys that are sent to all executors (16 MB); more are shuffled.
+#: Keys that are sent to all executors (16 MB); of more, a filter is, and the lines that pass it are shuffled.
 BROADCAST_KEYS = 1_000_000
 
 #: Indexed lines that a probing line is compared with under one key. Keys of
@@ -209,6 +209,8 @@ def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
     met = checkpointed(met)
     if met.count() <= BROADCAST_KEYS:
         met = F.broadcast(met)
+    else:
+        rows = may_be_in(rows, F.col("key"), met, "may").filter("may").drop("may")
     rows = written(rows.join(met, "key", "left_semi").distinct())
     found = []
     for level in range(LEVELS + 1):

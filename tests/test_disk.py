@@ -69,3 +69,23 @@ def test_filter_of_keys_misses_none(spark):
     assert len(held) == rows.count() and all(held[key] for key in keys[1:])
     assert sum(held.values()) < 1.2 * len(keys)
     assert not any(r["may"] for r in may_be_in(rows, F.col("key"), some.limit(0), "may").collect())
+
+
+def test_lines_of_many_keys_pass_a_filter_first(spark, monkeypatch):
+    """With more keys than are sent whole: the same pairs, and only lines that may meet another are shuffled."""
+    lines = [f"{n * 7919:09d} stands before line number {n * 104729:09d} of them" for n in range(300)]
+    lines += [line + "!" for line in lines[::50]]
+    table = spark.createDataFrame([(line,) for line in lines], "line string")
+    expected = {tuple(r) for r in line_dedup.candidate_pairs(table, 2).collect()}
+    kept, own = [], line_dedup.may_be_in
+
+    def seen(*args):
+        out = own(*args)
+        kept.append((out.count(), out.filter("may").count()))
+        return out
+
+    monkeypatch.setattr(line_dedup, "may_be_in", seen)
+    monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", 0)
+    assert {tuple(r) for r in line_dedup.candidate_pairs(table, 2).collect()} == expected and len(expected) >= 6
+    [(rows, passed)] = kept
+    assert passed < rows / 2
