@@ -1,15 +1,16 @@
 """Reviews in the order of time: moving means, what came before and after, and the latest earlier event.
 
-No window spans a whole entity: running sums and carried values go from chunk
-to chunk of the order, so an entity with a third of all reviews is as many
-chunks as its rows fill (see :mod:`ratelens.functions.ordered`).
+No window spans all reviews of an entity: running sums and carried values go
+from chunk to chunk of the order, so an entity with a third of all reviews is as
+many chunks as its rows fill (see :mod:`ratelens.functions.ordered`). Only days
+of an entity, after all its reviews of a day are one row, stand in one window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +66,10 @@ def moving_scores(df: DataFrame, days: int = 90, cols: ReviewColumns = REVIEWS)
     Change from the one to the other, Previous_Average and Next_Average of the
     entity's review days before and behind, and Total_Count up to the day.
     Reviews without score or valid date are left out.
+
+    Reviews are folded to a row for each entity and day first, so a window over an
+    entity is never longer than the calendar. A frame is the difference of two
+    running sums, in exact decimals, so frames of any width cost the same.
     """
     scored = df.select(F.col(cols.entity).alias("entity"), day(df, cols.date).alias("day"), F.col(cols.score).cast(EXACT).alias("score"))
     daily = (
@@ -73,29 +78,42 @@ def moving_scores(df: DataFrame, days: int = 90, cols: ReviewColumns = REVIEWS)
         .filter("n > 0 and day is not null")
         .withColumn("at", F.unix_date("day"))
     )
-    moving = moving_sums(daily, ["entity"], "at", days - 1, {"m_n": F.col("n"), "m_total": F.col("total")}, earlier=[days])
-
-    def mean(total: str, n: str) -> Column:
-        return F.when(F.col(n) > 0, F.col(total).cast("double") / F.col(n).cast("double"))
-
-    own = daily.withColumn("at", F.col("at").cast("long")).withColumn("mean", mean("total", "n"))
-    chunked = range_chunks(own, ["entity", "at"])
-    so_far = running_sums(chunked, ["entity"], ["at"], {"all_n": F.col("n")})
-    previous = carried(so_far, ["entity"], ["at"], {"previous": F.col("mean")})
-    both = carried(previous, ["entity"], ["at"], {"following": F.col("mean")}, backward=True)
-    joined = both.join(moving, (both["entity"].eqNullSafe(moving["entity"])) & (both["at"] == moving["at"]))
-    return joined.select(
-        both["entity"].alias(cols.entity),
+
+    def mean(total: Column, n: Column) -> Column:
+        return F.when(n > 0, total.cast("double") / n.cast("double"))
+
+    order = Window.partitionBy("entity").orderBy("at")
+    until = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = daily.withColumn("mean", mean(F.col("total"), F.col("n")))
+    sums = own.select(
+        "*",
+        *(
+            F.coalesce(F.sum(name).over(order.rangeBetween(Window.unboundedPreceding, -shift) if shift else until), F.lit(0)).alias(f"{name}_{shift}")
+            for name in ("n", "total")
+            for shift in (0, days, 2 * days)
+        ),
+        F.lag("mean").over(order).alias("previous"),
+        F.lead("mean").over(order).alias("following"),
+    )
+
+    def frame(name: str, end: int) -> Column:
+        """The sum over the ``days`` days up to ``end`` days ago."""
+        kind = EXACT if name == "total" else "long"
+        return F.col(f"{name}_{end}").cast(kind) - F.col(f"{name}_{end + days}").cast(kind)
+
+    last, before = (mean(frame("total", end), frame("n", end)) for end in (0, days))
+    return sums.select(
+        F.col("entity").alias(cols.entity),
         F.col("day").alias("Review_Day"),
         F.col("n").alias("Review_Count"),
         F.col("mean").alias("Average_Score"),
-        F.col("m_n").cast("long").alias("Moving_Count"),
-        mean("m_total", "m_n").alias("Moving_Average"),
-        mean(f"m_total_{days}", f"m_n_{days}").alias("Earlier_Average"),
-        (mean("m_total", "m_n") - mean(f"m_total_{days}", f"m_n_{days}")).alias("Change"),
+        frame("n", 0).alias("Moving_Count"),
+        last.alias("Moving_Average"),
+        before.alias("Earlier_Average"),
+        (last - before).alias("Change"),
         F.col("previous").alias("Previous_Average"),
         F.col("following").alias("Next_Average"),
-        F.col("all_n").alias("Total_Count"),
+        F.col("n_0").alias("Total_Count"),
     )
 
 
