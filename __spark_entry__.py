@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import series_queries  # noqa: E402
 from expected_sql import DOCUMENT_PHRASES, DOCUMENT_TOPICS, expected_sql  # noqa: E402
-from ratelens.functions.checkpoints import checkpoint_folder, checkpointed  # noqa: E402
+from ratelens.functions.checkpoints import checkpoint_folder, checkpointed, shuffles_dropped  # noqa: E402
 from ratelens.functions.text import HOTEL_TOPICS  # noqa: E402
 from ratelens.operators.clustering import group_columns_in, segment_features, segment_kmeans, top_groups  # noqa: E402
 from ratelens.operators.entities import top_hotels  # noqa: E402
@@ -258,7 +258,8 @@ def from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     reviews = star_reviews(spark, sf_dir, given)
     written = reviews.select(*(F.col(f.name) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name) for f in reversed(REVIEW_SCHEMA)))
     folder = f"{checkpoint_folder(spark)}/reviews-{uuid.uuid4()}"
-    written.write.csv(folder, header=True)
+    with shuffles_dropped(spark):
+        written.write.csv(folder, header=True, compression="gzip")
     return (
         read_reviews(spark, folder)
         .groupBy("Hotel_Name", "Hotel_Address")
